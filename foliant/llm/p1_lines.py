@@ -3,7 +3,7 @@
 Lines are masked (digits, dates), clustered within their source by locality-sensitive hashing of the masked
 words, and clusters with a high document frequency give the candidates; an exact count of each normalised line
 among the candidates follows. The cluster is a function of the normalised line, so equal lines never part and
-the candidate step loses none of them. Names need no mask of their own: min-hashes of the words put lines that differ
+the candidate step loses none of them. Names need no mask of their own: the smallest hashes of the words put lines that differ
 in a name into one cluster with a probability that grows with what they share.
 
 Sizes: two passes over the texts; the first pre-aggregates (source, cluster, document) before its
@@ -26,6 +26,8 @@ from foliant.runtime import materialize
 MIN_DOCUMENTS = 6
 MIN_SHARE_PERCENT = 5
 MIN_LETTERS = 20
+#: Word hashes in the sketch of a line: lines that share nearly all their words share it.
+SKETCH = 4
 #: English month names, as far as they mark a date.
 MONTHS = "january|february|march|april|may|june|july|august|september|october|november|december"
 
@@ -37,12 +39,11 @@ def line_key(line: str | Column) -> Column:
 
 
 def cluster(key: str | Column) -> Column:
-    """Locality-sensitive hash of a normalised line: two min-hashes of its words with dates and numbers masked."""
+    """Locality-sensitive hash of a normalised line: the smallest word hashes (a bottom-k sketch) with dates and numbers masked."""
     c = F.col(key) if isinstance(key, str) else key
     masked = F.regexp_replace(F.regexp_replace(c, rf"\b(?:{MONTHS}) 0,? 0\b|\b0[-/]0[-/]0\b", "0"), r"[0.,$]+", "0")
-    tokens = F.split(masked, " ")
-    low = lambda seed: F.array_min(F.transform(tokens, lambda t: F.xxhash64(F.lit(seed), t)))
-    return F.xxhash64(low(1), low(2))
+    hashes = F.transform(F.split(masked, " "), lambda t: F.xxhash64(t))
+    return F.xxhash64(F.slice(F.array_sort(hashes), 1, SKETCH))
 
 
 def section_lines(content: DataFrame) -> DataFrame:
