@@ -6,9 +6,9 @@ among the candidates follows. The cluster is a function of the normalised line,
 the candidate step loses none of them. Names need no mask of their own: the smallest hashes of the words put lines that differ
 in a name into one cluster with a probability that grows with what they share.
 
-Sizes: two passes over the texts; the first pre-aggregates (source, cluster, document) before its
-shuffle, so that a source or a line that holds a third of everything is combined on the map side. Only lines
-of frequent clusters are kept after the second.
+Sizes: one pass over the texts, which leaves a narrow table of line hashes; counts pre-aggregate (source, cluster,
+document) before their shuffle, so that a source or a line that holds a third of everything is combined on the map side.
+Only lines of frequent clusters go on to the exact count.
 
 Defined cases: null, empty and blank texts have no lines that count; rows sent twice count once; a path without a
 second label is its own source; rows with a null path or section are left out; extra columns are ignored.
@@ -67,22 +67,23 @@ def _frequent(counts: DataFrame, sizes: DataFrame) -> DataFrame:
     return counts.join(sizes, "source").where((F.col("docs") >= MIN_DOCUMENTS) & (F.col("docs") * 100 >= F.col("n_docs") * MIN_SHARE_PERCENT))
 
 
-def frequent_clusters(content: DataFrame, sizes: DataFrame) -> DataFrame:
+def frequent_clusters(lines: DataFrame, sizes: DataFrame) -> DataFrame:
     """Clusters found in many documents of their source: ``source, cluster, docs, n_docs``."""
-    per_doc = section_lines(content).select("source", "cluster", "doc").distinct()
+    per_doc = lines.select("source", "cluster", "doc").distinct()
     return _frequent(per_doc.groupBy("source", "cluster").agg(F.count("*").alias("docs")), sizes)
 
 
-def candidate_lines(content: DataFrame, clusters: DataFrame) -> DataFrame:
-    """All lines of the frequent clusters, written once."""
-    kept = materialize(clusters.select("cluster"), "p1-clusters")
-    return materialize(section_lines(content).join(kept, "cluster", "left_semi"), "p1-lines")
+def candidate_lines(content: DataFrame, sizes: DataFrame, *extra: str) -> DataFrame:
+    """All lines of the frequent clusters. Texts are taken apart once: the lines' hashes are written, and read twice."""
+    lines = materialize(section_lines(content).select("source", "doc", "section_id", "line_no", "line_key", "cluster", *extra), "p1-lines")
+    kept = materialize(frequent_clusters(lines, sizes).select("cluster"), "p1-clusters")
+    return lines.join(kept, "cluster", "left_semi")
 
 
 def repeated_lines(content: DataFrame) -> DataFrame:
     """``section_id, line_no`` of each line repeated excessively within its source."""
     sizes = source_sizes(content)
-    lines = candidate_lines(content, frequent_clusters(content, sizes))
+    lines = candidate_lines(content, sizes)
     counts = lines.select("source", "line_key", "doc").distinct().groupBy("source", "line_key").agg(F.count("*").alias("docs"))
     keys = materialize(_frequent(counts, sizes).select("line_key"), "p1-keys")
     return lines.join(keys, "line_key", "left_semi").select("section_id", "line_no").distinct().select("section_id", F.col("line_no").cast("int").alias("line_no"))
@@ -102,8 +103,6 @@ def clean(content: DataFrame) -> DataFrame:
 
 def clusters_report(content: DataFrame) -> DataFrame:
     """One row per frequent cluster: source, documents, lines, distinct forms and its first form."""
-    sizes = source_sizes(content)
-    found = frequent_clusters(content, sizes)
-    lines = candidate_lines(content, found)
+    lines = candidate_lines(content, source_sizes(content), "key")
     stats = lines.groupBy("source", "cluster").agg(F.count_distinct("section_id", "line_no").alias("lines"), F.count_distinct("line_key").alias("forms"), F.count_distinct("doc").alias("docs"), F.min("key").alias("form"))
     return stats.select("source", "form", "docs", "lines", "forms")
