@@ -25,7 +25,7 @@ from foliant.llm.p5_seeds import seeds
 from foliant.llm.rules import induce, to_sql
 
 MAX_COMMON = 10_000
-KINDS = ["table", "list", "junk"]
+KINDS = ["table", "junk", "list"]
 #: What the rules look at.
 FEATURES = [
     "n_lines", "mean_line_words", "mean_word_length", "symbol_share", "punct_share", "common_share", "entry_share", "contents_share",
@@ -99,7 +99,7 @@ def features(text: str | None, common: frozenset[str], known: dict[str, bool]) -
             contents += bool(_CONTENTS.search(s))
         short += m <= 6 and len(s) <= 60 and not ends and not row
     plain = [w for w in _NOT_LETTERS.split(t.lower()) if w]
-    tokens = [w for w in _TOKEN.findall(t) if not w.isdigit()]
+    tokens = [w for w in _TOKEN.findall(t) if len(w) > 1 and not w.isdigit()]
     letters = sum(map(len, plain))
     return [
         float(n), float(lines), n / lines, solid / n, len(_ALNUM_SPACE.sub("", t)) / solid, closed / lines, sum(map(common.__contains__, plain)) / max(1, len(plain)), entry / lines, contents / lines,
