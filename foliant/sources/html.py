@@ -24,7 +24,7 @@ def links(pages: DataFrame, suffix: str = ".pdf", exclude: tuple[str, ...] = (),
 
     @F.pandas_udf("array<string>")
     def absolute(base, found):
-        return found.combine(base, lambda ls, b: sorted({urljoin(b, x) for x in ls}))
+        return found.combine(base, lambda ls, b: sorted({urljoin(b or "", x) for x in ls}) if ls is not None else [])
 
     return pages.select("url", absolute(F.col("url"), F.filter(hrefs, keep)).alias("links")).select("url", F.explode("links").alias("link"))
 

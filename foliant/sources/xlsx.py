@@ -116,8 +116,8 @@ class WorkbookSource(DataSource):
     def name(cls) -> str:
         return "workbook"
 
-    def schema(self) -> StructType:
-        return StructType.fromDDL(
+    def schema(self) -> str:
+        return (
             {"cells": "file string, sheet string, r int, c int, value string", "merged": "file string, sheet string, min_col int, min_row int, max_col int, max_row int", "sheets": "file string, sheet string, position int"}[self.options.get("what", "cells")]
         )
 
