@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliant.llm.common import M3, WordHash, mix, words_of
@@ -135,35 +135,30 @@ def _verify(threshold: float, aligned: bool):
     return run
 
 
-def word_class(table: str | Column, text: str | Column) -> Column:
-    """Identity of a text's words."""
-    words = F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
-    return F.xxhash64(table, words)
-
-
 def records(content: DataFrame, chunks: DataFrame) -> DataFrame:
     """Both tables as ``table_name, id, text, class``; a text of 20 words has at least 39 characters."""
     both = content.select(F.lit("document_content").alias("table_name"), F.col("section_id").alias("id"), F.col("content_text").alias("text")).unionByName(
         chunks.select(F.lit("embedding_table").alias("table_name"), F.col("chunk_id").alias("id"), F.col("chunk_text").alias("text"))
     )
-    return both.where(F.col("id").isNotNull() & (F.length("text") >= 2 * MIN_WORDS - 1)).withColumn("class", word_class("table_name", "text"))
+    words = F.trim(F.regexp_replace(F.lower("text"), r"[^\p{L}\p{N}]+", " "))
+    return both.where(F.col("id").isNotNull() & (F.length("text") >= 2 * MIN_WORDS - 1)).withColumn("class", F.xxhash64("table_name", words)).withColumn("long", F.size(F.split(words, " ")) >= MIN_WORDS)
 
 
 def class_links(rows: DataFrame, threshold: float = THRESHOLD, aligned: bool = False) -> DataFrame:
     """Links between the representatives of classes (:data:`PAIRS`)."""
-    reps = rows.withColumn("r", F.row_number().over(Window.partitionBy("class").orderBy("id"))).where("r = 1").drop("r")
+    reps = rows.select("class", "table_name", "id", "text").withColumn("r", F.row_number().over(Window.partitionBy("class").orderBy("id"))).where("r = 1").drop("r")
     keys = reps.select("class", "table_name", "id", "text").mapInArrow(_sketches, "key bigint, class bigint")
     near = keys.withColumnRenamed("class", "a").join(keys.withColumnRenamed("class", "b"), "key").where("a < b").select("a", "b").distinct()
     first = reps.select(F.col("class").alias("a"), "table_name", F.col("id").alias("id_a"), F.col("text").alias("text_a"))
     second = reps.select(F.col("class").alias("b"), F.col("table_name").alias("_t"), F.col("id").alias("id_b"), F.col("text").alias("text_b"))
-    return near.join(first, "a").join(second, "b").select("table_name", "id_a", "id_b", "a", "b", "text_a", "text_b").mapInArrow(_verify(threshold, aligned), PAIRS)
+    # all columns are used on both sides, so that the one shuffle of the texts serves the sketches and both joins
+    return near.join(first, "a").join(second, "b").where("_t = table_name").select("table_name", "id_a", "id_b", "a", "b", "text_a", "text_b").mapInArrow(_verify(threshold, aligned), PAIRS)
 
 
 def members(rows: DataFrame) -> DataFrame:
-    """``table_name, class, id, n``: every record with the size of its class, for classes that are written out or the representative of a larger one."""
-    ids = rows.select("table_name", "class", "id").distinct()
-    sizes = ids.groupBy("class").agg(F.count("*").alias("n"), F.min("id").alias("rep"))
-    return ids.join(sizes, "class")
+    """``table_name, class, id, n, rep``: every record of 20 words or more with the size of its class and its smallest id; written once, without texts."""
+    ids = materialize(rows.where("long").select("table_name", "class", "id").distinct(), "p4-members")
+    return ids.join(ids.groupBy("class").agg(F.count("*").alias("n"), F.min("id").alias("rep")), "class")
 
 
 def pairs(content: DataFrame, chunks: DataFrame) -> DataFrame:
@@ -177,8 +172,6 @@ def pairs(content: DataFrame, chunks: DataFrame) -> DataFrame:
     b = out.select(F.col("class").alias("b"), F.col("id").alias("y"))
     between = links.select("table_name", "a", "b").join(a, "a").join(b, "b").select("table_name", "x", "y")
     twice = materialize(all_ids.where("n > 1"), "p4-copies")
-    long = enough_words(rows).select("class").distinct()
-    twice = twice.join(long, "class", "left_semi")
     small = twice.where(F.col("n") <= EXPANDED)
     within = small.select("table_name", "class", F.col("id").alias("x")).join(small.select("class", F.col("id").alias("y")), "class").where("x < y").select("table_name", "x", "y")
     star = twice.where((F.col("n") > EXPANDED) & (F.col("id") != F.col("rep"))).select("table_name", F.col("rep").alias("x"), F.col("id").alias("y"))
@@ -186,11 +179,6 @@ def pairs(content: DataFrame, chunks: DataFrame) -> DataFrame:
     return every.select("table_name", F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b")).distinct()
 
 
-def enough_words(rows: DataFrame) -> DataFrame:
-    """Rows of at least 20 words."""
-    return rows.where(F.size(F.split(F.trim(F.regexp_replace("text", r"[^\p{L}\p{N}]+", " ")), " ")) >= MIN_WORDS)
-
-
 def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
     """``node, root``: the smallest node that each node of ``a, b`` is connected to.
 
@@ -218,7 +206,7 @@ def groups(content: DataFrame, chunks: DataFrame) -> DataFrame:
     root = components(links.select("a", "b"))
     side = lambda x, y: links.select(F.col(x).alias("class"), F.col(y).alias("other"), "similarity", "alignment")
     stats = side("a", "b").unionByName(side("b", "a")).groupBy("class").agg(F.count("*").alias("links"), F.max("similarity").alias("similarity"), F.max("alignment").alias("alignment"))
-    all_ids = members(enough_words(rows))
+    all_ids = members(rows)
     joined = all_ids.join(stats, "class", "left").join(root.withColumnRenamed("node", "class"), "class", "left").where("n > 1 or links is not null")
     return joined.select(
         "table_name", "id", F.coalesce("root", "class").alias("group_id"), F.coalesce("links", F.lit(0)).alias("links"), F.col("n").alias("copies"), "similarity", "alignment"
