@@ -72,3 +72,59 @@ def identifier(name: str) -> str:
 def anchored(path: str, root: str | Path) -> Path:
     """A relative path below a root; a path with a drive or root stays as it is."""
     return Path(path) if re.match(r"^(?:[A-Za-z]:|/|\\)", path) else Path(root) / path
+
+
+def check_files(config: dict) -> list[dict]:
+    """The documents of a file ingestion: each needs a file; parse settings are booleans and names of back ends."""
+    docs = config.get("documents")
+    if not isinstance(docs, list) or not docs:
+        raise ConfigError("documents must be a list with entries")
+    seen: set[str] = set()
+    for d in docs:
+        name = typed(d, "file", str)
+        if name in seen:
+            raise ConfigError(f"{name} is there twice")
+        seen.add(name)
+        for key, kind in (("title", str), ("collection_path", str), ("do_ocr", bool)):
+            if key in d:
+                typed(d, key, kind)
+    return docs
+
+
+def check_sheets(config: dict) -> list[tuple[str, dict]]:
+    """The sheets of a workbook ingestion: file and sheet; no identity twice; rows from 1; columns are letters; targets are identifiers."""
+    out, seen = [], set()
+    for f in typed(config, "files", list):
+        name = typed(f, "file", str)
+        for s in typed(f, "sheets", list):
+            sheet = typed(s, "sheet", str)
+            if (name, sheet) in seen:
+                raise ConfigError(f"{name} / {sheet} is there twice")
+            seen.add((name, sheet))
+            for key in ("header_row", "data_start_row", "data_end_row"):
+                if key in s and typed(s, key, int) < 1:
+                    raise ConfigError(f"{key} must be at least 1")
+            for key in ("start_col", "end_col"):
+                if key in s and not re.fullmatch("[A-Za-z]+", typed(s, key, str)):
+                    raise ConfigError(f"{key} must be column letters")
+            if "structured_table" in s:
+                identifier(typed(s, "structured_table", str))
+            out.append((name, s))
+    if not out:
+        raise ConfigError("no sheets")
+    return out
+
+
+def check_acquisition(config: dict) -> dict:
+    """Kind of discovery and limits of an acquisition."""
+    d = typed(config, "discovery", dict)
+    kind = typed(d, "kind", str)
+    if kind not in ("explicit", "templated"):
+        raise ConfigError(f"unknown discovery {kind!r}")
+    for key in {"explicit": ["targets"], "templated": ["variable", "values", "url", "destination"]}[kind]:
+        if key not in d:
+            raise ConfigError(f"{key} is missing")
+    for key in ("min_targets", "max_bytes", "retries"):
+        if key in config and typed(config, key, int) < 0:
+            raise ConfigError(f"{key} must not be negative")
+    return d
