@@ -181,10 +181,9 @@ def _join(k: int, dim: int):
     return run
 
 
-def neighbours(chunks: DataFrame, k: int = K, dim: int = DIM) -> DataFrame:
-    """``h, ids, near``: for each different vector its ids and, best first, up to k ``(sim, id)`` of other vectors."""
-    spark = chunks.sparkSession
-    rows = materialize(nodes(usable(chunks, dim), k), "p2-nodes")
+def neighbours(rows: DataFrame, k: int = K, dim: int = DIM) -> DataFrame:
+    """``h, ids, near``: for each node its ids and, best first, up to k ``(sim, id)`` of other vectors."""
+    spark = rows.sparkSession
     n = rows.count()
     lists = int(min(MAX_LISTS, max(1, -(-n // LIST_SIZE))))
     want = min(n, PER_LEAF * lists)
@@ -211,10 +210,11 @@ def neighbours(chunks: DataFrame, k: int = K, dim: int = DIM) -> DataFrame:
 
 def nearest(chunks: DataFrame, k: int = K, dim: int = DIM) -> DataFrame:
     """``chunk_id, rank, other_id``: the k most similar pieces of every piece."""
-    near = neighbours(chunks, k, dim)
+    rows = materialize(nodes(usable(chunks, dim), k), "p2-nodes")
+    near = neighbours(rows, k, dim)
     own = near.select(F.explode("ids").alias("chunk_id"), F.slice(F.concat(F.array_remove("ids", F.col("chunk_id")), F.transform("near", lambda x: x["id"])), 1, k).alias("others"))
     # copies beyond the k + 1 representatives: their neighbours are the first k of those
-    full = materialize(near.where(F.size("ids") > k).select("h", "ids"), "p2-copies", 1)
+    full = materialize(rows.where(F.size("ids") > k).select("h", "ids"), "p2-copies")
     salts = 16
     spread = full.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     rest = (
