@@ -110,35 +110,33 @@ def fragmentation(sections: DataFrame, key: str) -> DataFrame:
     return shown.withColumn("sections_per_page", F.bround(F.col("section_count") / pages, DIGITS))
 
 
-def fences(df: DataFrame, value: str, name: str) -> DataFrame:
-    """One row ``<name>_lo, <name>_hi``: quartiles less and plus 1.5 of their distance (exact, linear between values)."""
+def fences(df: DataFrame, value: str) -> Column:
+    """``lo, hi`` as a scalar subquery: quartiles less and plus 1.5 of their distance (exact, linear between values); null without rows."""
     q = df.agg(F.percentile(value, F.array(F.lit(0.25), F.lit(0.75))).alias("q"))
     lo, hi = F.col("q")[0], F.col("q")[1]
-    return q.select((lo - 1.5 * (hi - lo)).alias(f"{name}_lo"), (hi + 1.5 * (hi - lo)).alias(f"{name}_hi"))
+    return q.select(F.struct((lo - 1.5 * (hi - lo)).alias("lo"), (hi + 1.5 * (hi - lo)).alias("hi"))).scalar()
 
 
 def fragmentation_flags(metrics: DataFrame) -> DataFrame:
-    """Documents outside the fences: ``reasons`` of many_sections (per page, among paginated ones), long or short medians.
-
-    The fences are two single rows, joined as such.
-    """
-    paged = fences(metrics.where("total_pages > 0"), "sections_per_page", "p")
-    words_ = fences(metrics, "median_words", "w")
-    shown = metrics.join(F.broadcast(paged), how="cross").join(F.broadcast(words_), how="cross")
+    """Documents outside the fences: ``reasons`` of many_sections (per page, among paginated ones), long or short medians."""
+    p, w = fences(metrics.where("total_pages > 0"), "sections_per_page"), fences(metrics, "median_words")
+    paged = F.col("total_pages") > 0
     reasons = F.array_compact(
         F.array(
-            F.when((F.col("total_pages") > 0) & (F.col("sections_per_page") > F.col("p_hi")), "many_sections"),
-            F.when((F.col("total_pages") > 0) & (F.col("sections_per_page") < F.col("p_lo")), "few_sections"),
-            F.when(F.col("median_words") > F.col("w_hi"), "long_sections"),
-            F.when(F.col("median_words") < F.col("w_lo"), "short_sections"),
+            F.when(paged & (F.col("sections_per_page") > p["hi"]), "many_sections"),
+            F.when(paged & (F.col("sections_per_page") < p["lo"]), "few_sections"),
+            F.when(F.col("median_words") > w["hi"], "long_sections"),
+            F.when(F.col("median_words") < w["lo"], "short_sections"),
         )
     )
-    return shown.withColumn("reasons", reasons).where("size(reasons) > 0").drop("p_lo", "p_hi", "w_lo", "w_hi")
+    return metrics.withColumn("reasons", reasons).where("size(reasons) > 0")
 
 
 def coverage_fence(coverage: DataFrame) -> DataFrame:
     """One row ``fence``: the lower fence of the coverages, at least 0; 0 without any."""
-    return fences(coverage.where("coverage is not null"), "coverage", "c").select(F.greatest(F.lit(0.0), F.coalesce(F.bround("c_lo", DIGITS), F.lit(0.0))).alias("fence"))
+    q = coverage.where("coverage is not null").agg(F.percentile("coverage", F.array(F.lit(0.25), F.lit(0.75))).alias("q"))
+    lo, hi = F.col("q")[0], F.col("q")[1]
+    return q.select(F.greatest(F.lit(0.0), F.coalesce(F.bround(lo - 1.5 * (hi - lo), DIGITS), F.lit(0.0))).alias("fence"))
 
 
 def number_gaps(sections: DataFrame, key: str, heading: str = "heading_text") -> DataFrame:
