@@ -140,3 +140,8 @@ def run(targets: list[dict], root: str, fetch: Callable[[str, Path], None], prio
                 p.unlink(missing_ok=True)
             entries.append(entry | {"error": f"{type(e).__name__}: {e}"})
     return entries
+
+
+def counters(entries: list[dict]) -> dict[str, int]:
+    """Number of entries of each status."""
+    return {s: sum(e["status"] == s for e in entries) for s in STATUSES}

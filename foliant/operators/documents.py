@@ -70,3 +70,14 @@ def create(spark: SparkSession, name: str, schema: str, keys: list[str] | None =
     """Create a table unless it is there; an existing one is never changed. Keys are kept as a table property."""
     props = f" TBLPROPERTIES ('foliant.keys' = '{','.join(keys)}')" if keys else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet{props}")
+
+
+def titled(parsed: DataFrame, entries: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Parsed documents with the title and path authored for their stem; a document that isn't authored is left out."""
+    own = entries.select(F.col("stem").alias(key), "collection_path", "title").dropDuplicates([key])
+    return parsed.join(own, key)
+
+
+def default_title(file: str = "file", sheet: str = "sheet", title: str = "title"):
+    """The authored title, or the file's stem and the sheet."""
+    return F.coalesce(F.col(title), F.concat(stem(file), F.lit(" — "), F.col(sheet)))

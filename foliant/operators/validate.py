@@ -138,8 +138,15 @@ def embeddings(source: DataFrame, results: DataFrame, keys: dict[str, str], dim:
         return results.sparkSession.createDataFrame([("empty", "embedding_table", "")], "check string, key string, detail string")
     tokens = word_count("chunk_text") + special
     back = {b: a for a, b in keys.items()}
+    terms_differ = []
+    if "chunk_terms" in results.columns:  # the search terms are those of the text
+        from foliant.operators.embed import terms
+
+        again = results.withColumn("_again", terms("chunk_text"))
+        terms_differ = [failures(again.where(~F.coalesce(F.col("chunk_terms") == F.col("_again"), F.lit(False))), "terms", own)]
     return both(
         [
+            *terms_differ,
             failures(childless(source, results, keys), "unembedded", list(keys)),
             failures(results.where(F.col("embedding").isNull()), "vector_missing", own),
             failures(results.where(F.size("embedding") != dim), "vector_size", own, F.size("embedding")),

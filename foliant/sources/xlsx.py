@@ -127,3 +127,31 @@ class WorkbookSource(DataSource):
 
 def register(spark) -> None:
     spark.dataSource.register(WorkbookSource)
+
+
+def input_failures(sheets: list[tuple[str, dict]], root: str = ".") -> list[tuple[str, str, str]]:
+    """``file, sheet, reason`` of authored sheets that can't be read: no file, no workbook, no such sheet, no rows, or an invalid path. Each file is opened once for its names."""
+    from pathlib import Path
+
+    from foliant.functions.identity import PATH
+    from foliant.sources.config import anchored
+
+    names: dict[str, set[str] | str] = {}
+    out = []
+    for file, s in sheets:
+        path = anchored(file, root)
+        if file not in names:
+            try:
+                names[file] = {n for n, _ in sheet_list(str(path))} if Path(path).is_file() else "no file"
+            except ValueError:
+                names[file] = "no workbook"
+        known, own = names[file], s.get("collection_path")
+        if isinstance(known, str):
+            out.append((file, s["sheet"], known))
+        elif s["sheet"] not in known:
+            out.append((file, s["sheet"], "no such sheet"))
+        elif not any(r > s.get("header_row", 1) for _, r, _, _ in cells(str(path), s["sheet"])):
+            out.append((file, s["sheet"], "no rows"))
+        elif own is not None and not re.fullmatch(PATH.replace(r"\z", r"\Z"), own):
+            out.append((file, s["sheet"], "invalid path"))
+    return out

@@ -53,6 +53,8 @@ def test_validators(spark, rows):
     emb = spark.createDataFrame([("a.b", 1, 1, "x " * 20, 20, [1.0, 2.0]), ("a.b", 1, 2, "y", 1, None), ("q", 1, 1, "y", 1, [1.0])], "fname string, so int, chunk_number int, chunk_text string, word_count int, embedding array<float>")
     got = {(r["check"], r.key) for r in v.embeddings(con, emb, {"collection_path": "fname", "sort_order": "so"}, 2, 21, 10).collect()}
     assert got == {("unembedded", "a.b/3"), ("unembedded", "zz/1"), ("vector_missing", "a.b/1/2"), ("vector_size", "q/1/1"), ("orphan", "q/1/1"), ("over_model", "a.b/1/1"), ("over_budget", "a.b/1/1")}
+    told = emb.where("fname = 'a.b' and chunk_number = 2").withColumn("chunk_terms", F.array(F.lit("y"), F.lit("z")))
+    assert ("terms", "a.b/1/2") in {(r["check"], r.key) for r in v.embeddings(con, told, {"collection_path": "fname", "sort_order": "so"}, 2, 21, 10).collect()}
     assert [r["check"] for r in v.structured(con.where("false"), doc).collect()] == ["empty"]
 
 

@@ -78,3 +78,14 @@ def test_configs():
     for check, c in bad:
         with pytest.raises(config.ConfigError):
             check(c)
+
+
+def test_titles(spark, rows):
+    e = d.kept(spark.createDataFrame([("a/x.pdf", "p.x", "T"), ("y.pdf", "p.y", None)], "file string, collection_path string, title string"))
+    assert rows(d.titled(spark.createDataFrame([("x",), ("z",)], "doc_id string"), e)) == [("x", "p.x", "T")]
+    s = spark.createDataFrame([("a/b.xlsx", "S", None), ("b.xlsx", "S", "own")], "file string, sheet string, title string")
+    assert [r[0] for r in s.select(d.default_title()).collect()] == ["b — S", "own"]
+    d.create(spark, "made_once", "k string, v int", ["k"])
+    d.create(spark, "made_once", "k string", ["k"])
+    assert d.missing_tables(spark, ["made_once", "never"]) == ["never"] and spark.table("made_once").columns == ["k", "v"]
+    spark.sql("DROP TABLE made_once")

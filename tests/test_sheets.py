@@ -77,3 +77,10 @@ def test_overlap_guard():
 
 def test_catalog_of_empty_table(spark):
     assert s.catalog(spark.createDataFrame([], "collection_path string, sort_order int, row_text string, word_count int")).count() == 0
+
+
+def test_input_failures(tmp_path):
+    book(tmp_path / "a.xlsx", SHEET)
+    (tmp_path / "b.xlsx").write_text("no")
+    asked = [("a.xlsx", {"sheet": "Products"}), ("a.xlsx", {"sheet": "X"}), ("b.xlsx", {"sheet": "X"}), ("c.xlsx", {"sheet": "X"}), ("a.xlsx", {"sheet": "Products", "header_row": 9}), ("a.xlsx", {"sheet": "Products", "collection_path": "A"})]
+    assert [r[2] for r in xlsx.input_failures(asked, str(tmp_path))] == ["no such sheet", "no workbook", "no file", "no rows", "invalid path"]
