@@ -25,17 +25,20 @@ def bad_characters(c: str | Column) -> Column:
 
 
 def text_health(sections: DataFrame, text: str = "content_text") -> DataFrame:
-    """Adds ``bad_chars, single_ratio, broken, severity, flagged``: odd characters, share of single letters, words broken over tokens."""
-    w = F.col("_w")
-    pairs = F.zip_with(F.slice(w, 1, F.greatest(F.size(w) - 1, F.lit(0))), F.slice(w, 2, F.greatest(F.size(w) - 1, F.lit(0))), lambda a, b: a.endswith("-") & b.rlike(r"\A\p{Ll}"))
-    single = F.size(F.filter(w, lambda x: x.rlike(r"\A\p{L}\z")))
-    shown = (
-        sections.withColumn("_w", words(text))
-        .withColumn("bad_chars", bad_characters(text))
-        .withColumn("single_ratio", F.coalesce(ratio(single, F.size(w)), F.lit(0.0)))
-        .withColumn("broken", F.when(F.size(w) > 1, F.size(F.filter(pairs, lambda x: x))).otherwise(0))
-    )
-    return shown.withColumn("severity", F.col("bad_chars") * 100 + F.col("single_ratio") * 10 + F.col("broken")).withColumn("flagged", (F.col("bad_chars") > 0) | (F.col("single_ratio") > SINGLE_LETTERS) | (F.col("broken") > BROKEN_WORDS)).drop("_w")
+    """Adds ``bad_chars, single_ratio, broken, severity, flagged``: odd characters, share of single letters, words broken over tokens.
+
+    The words are split once: everything about them is one expression over the array.
+    """
+    pairs = lambda w: F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w) - 1), lambda a, b: a.endswith("-") & b.rlike(r"\A\p{Ll}"))
+    of_words = F.transform(
+        F.array(words(text)),
+        lambda w: F.struct(
+            F.coalesce(ratio(F.size(F.filter(w, lambda x: (F.length(x) <= 2) & x.rlike(r"\A\p{L}\z"))), F.size(w)), F.lit(0.0)).alias("single_ratio"),
+            F.when(F.size(w) > 1, F.size(F.filter(pairs(w), lambda x: x))).otherwise(0).alias("broken"),
+        ),
+    )[0]
+    shown = sections.withColumn("_m", of_words).withColumn("bad_chars", bad_characters(text)).withColumn("single_ratio", F.col("_m.single_ratio")).withColumn("broken", F.col("_m.broken")).drop("_m")
+    return shown.withColumn("severity", F.col("bad_chars") * 100 + F.col("single_ratio") * 10 + F.col("broken")).withColumn("flagged", (F.col("bad_chars") > 0) | (F.col("single_ratio") > SINGLE_LETTERS) | (F.col("broken") > BROKEN_WORDS))
 
 
 def without_tables(text: str | Column) -> Column:
@@ -47,14 +50,13 @@ def without_tables(text: str | Column) -> Column:
 def coverage_gap(parsed: DataFrame, cleaned: DataFrame, key: list[str], parsed_text: str, cleaned_text: str) -> DataFrame:
     """Tokens of the parsed texts that the cleaned ones of the same key lack: ``key, n_tokens, n_missing, sample`` (the first five in order).
 
-    Tokens are made distinct on each side before they meet, so a join row is one token of one key.
+    Texts become sets of tokens where they are read, and a key's sets meet as arrays, one row for each side: a key is a section or a
+    document, and its tokens no more than its text.
     """
-    side = lambda d, t: d.select(*key, F.explode(tokens(t)).alias("token")).distinct()
-    have = side(cleaned, cleaned_text).withColumn("there", F.lit(True))
-    # a token is one row of its key; the sample keeps five of them
-    joined = side(parsed, parsed_text).join(have, [*key, "token"], "left").withColumn("gone", F.col("there").isNull())
-    first = F.slice(F.array_sort(F.collect_list(F.when(F.col("gone"), F.col("token")))), 1, 5)
-    return joined.groupBy(*key).agg(F.count("*").alias("n_tokens"), F.count_if("gone").alias("n_missing"), first.alias("sample"))
+    merge = lambda d, t, name: d.select(*key, tokens(t).alias("_t")).groupBy(*key).agg(F.array_distinct(F.flatten(F.collect_list("_t"))).alias(name))
+    joined = merge(parsed, parsed_text, "_a").join(merge(cleaned, cleaned_text, "_b"), key, "left")
+    gone = F.array_except("_a", F.coalesce("_b", F.expr("cast(array() as array<string>)")))
+    return joined.withColumn("_g", gone).select(*key, F.size("_a").alias("n_tokens"), F.size("_g").alias("n_missing"), F.slice(F.array_sort("_g"), 1, 5).alias("sample")).where("n_tokens > 0")
 
 
 def table_gap(elements: DataFrame, cleaned: DataFrame) -> DataFrame:

@@ -27,8 +27,25 @@ def session(cores: str | int = "*", partitions: int | None = None) -> SparkSessi
     return spark
 
 
+#: Bytes of a file that make a task worth while.
+TASK_BYTES = 256 * 1024
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"), f"{sf_dir}/{name}.parquet")
+
+
+def spread(df: DataFrame, path: str) -> DataFrame:
+    """A table of fewer splits than cores, spread over them; a single row group can't be read by several tasks.
+
+    Tables with splits for half the cores or more, all large ones that is, and tables too small to matter stay as they are.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    size = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
+    want = min(cores, size // TASK_BYTES)
+    return df.repartition(int(want)) if want > 1 and size < cores * int(spark.conf.get("spark.sql.files.openCostInBytes", "4194304").rstrip("b")) and df.rdd.getNumPartitions() * 2 < want else df
 
 
 def shared_dir(spark: SparkSession) -> str:
