@@ -62,6 +62,18 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+_written: list[str] = []
+
+
+def cleanup(spark: SparkSession) -> None:
+    """Remove the intermediate tables that this process has written, once their results are no longer needed."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    while _written:
+        at = path(_written.pop())
+        at.getFileSystem(conf).delete(at, True)
+
+
 def materialize(df: DataFrame, name: str = "part", partitions: int | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it again.
 
@@ -71,5 +83,6 @@ def materialize(df: DataFrame, name: str = "part", partitions: int | None = None
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/foliant-{name}-{uuid.uuid4().hex}"
+    _written.append(path)
     (df.coalesce(partitions) if partitions else df).write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
