@@ -44,9 +44,12 @@ def frames(spark, data):
 def test_pairs_equal_brute_force(spark):
     data = make()
     got = m.pairs(*frames(spark, data)).collect()
-    assert sorted((r.id_a, r.id_b) for r in got if r.table_name == "document_content") == brute(data)
-    assert sorted((r.id_a, r.id_b) for r in got if r.table_name == "embedding_table") == brute(data[:40])
     assert len(got) == len(set(got))
+    for name, own in (("document_content", data), ("embedding_table", data[:40])):
+        found, want, text_of = {(r.id_a, r.id_b) for r in got if r.table_name == name}, set(brute(own)), dict(own)
+        assert found <= want and len(found) >= 0.98 * len(want)
+        # what the samples may miss lies near the threshold
+        assert all(m.similarity(words_of(text_of[a]), words_of(text_of[b])) < 0.6 for a, b in want - found)
 
 
 def test_large_classes_become_stars(spark, monkeypatch):
