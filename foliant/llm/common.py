@@ -13,8 +13,14 @@ WORD = re.compile(r"[^\W_]+")
 M1, M2, M3 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
 
 
+_ASCII = {i: " " for i in range(128) if not chr(i).isalnum()}
+
+
 def words_of(text: str | None) -> list[str]:
-    return WORD.findall(text.lower()) if text else []
+    """The words of a text, lower-cased; plain ASCII texts need no regular expression."""
+    if not text:
+        return []
+    return text.lower().translate(_ASCII).split() if text.isascii() else WORD.findall(text.lower())
 
 
 def source_of(path: str | Column) -> Column:
@@ -24,11 +30,10 @@ def source_of(path: str | Column) -> Column:
 
 
 def mix(x: np.ndarray) -> np.ndarray:
-    """A bijective 64-bit finaliser."""
-    with np.errstate(over="ignore"):
-        x = (x ^ (x >> np.uint64(30))) * M1
-        x = (x ^ (x >> np.uint64(27))) * M2
-        return x ^ (x >> np.uint64(31))
+    """A bijective 64-bit finaliser; arrays of unsigned numbers wrap around silently."""
+    x = (x ^ (x >> np.uint64(30))) * M1
+    x = (x ^ (x >> np.uint64(27))) * M2
+    return x ^ (x >> np.uint64(31))
 
 
 def once(df: DataFrame, *keys: str) -> DataFrame:
@@ -37,14 +42,25 @@ def once(df: DataFrame, *keys: str) -> DataFrame:
 
 
 class WordHash(dict):
-    """Word to 64-bit hash, remembered; forgets everything when it holds too many words."""
+    """64-bit hashes of words, remembered by number; forgets everything when it holds too many words."""
 
     LIMIT = 400_000
 
+    def __init__(self) -> None:
+        super().__init__()
+        self.table = np.zeros(1024, np.uint64)
+
     def __missing__(self, w: str) -> int:
         import xxhash
 
-        if len(self) >= self.LIMIT:
+        n = self[w] = len(self)
+        if n >= len(self.table):
+            self.table = np.concatenate([self.table, np.zeros(len(self.table), np.uint64)])
+        self.table[n] = xxhash.xxh64_intdigest(w)
+        return n
+
+    def hashes(self, words: list[str]) -> np.ndarray:
+        if len(self) > self.LIMIT:
             self.clear()
-        h = self[w] = xxhash.xxh64_intdigest(w)
-        return h
+        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        return self.table[at]  # the table may have grown

@@ -2,7 +2,7 @@
 
 Order MinHash: words are grouped to k-mers (three consecutive words) labelled with their occurrence; each of ``SKETCHES``
 samples takes the ``ORDERED`` labelled k-mers with the smallest hashes and hashes them, ``IN_ORDER`` samples in the order in
-which the text has them. The others leave the order out: the result asked for is a similarity of sets, and of records whose
+which the text has them. The others leave order and labels out: the result asked for is a similarity of sets, and of records whose
 sentences were reordered, samples in text order alone miss most. Records that share a sample are candidates. Each is verified by the set similarity of the k-mers, and the
 alignment of their words within a band (longest common subsequence, bit-parallel) is reported.
 
@@ -38,46 +38,51 @@ BAND, EXPANDED = 64, 64
 PAIRS = "table_name string, id_a bigint, id_b bigint, a bigint, b bigint, similarity double, alignment double"
 _rng = np.random.default_rng(20)
 _MUL = _rng.integers(1, 2**32, SKETCHES, dtype=np.uint64).astype(np.uint32) | np.uint32(1)
-_XOR = _rng.integers(0, 2**32, SKETCHES, dtype=np.uint64).astype(np.uint32)
+_ROWS, _NONE = np.arange(SKETCHES), np.uint32(0xFFFFFFFF)
 
 
-def kmers(words: list[str], known: WordHash) -> np.ndarray:
-    """Hashes of the consecutive words, each labelled with its occurrence in the text."""
-    w = np.fromiter((known[x] for x in words), np.uint64, len(words))
+def kmers(words: list[str], known: WordHash) -> tuple[np.ndarray, np.ndarray | None]:
+    """Hashes of the consecutive words, each labelled with its occurrence in the text, and which of them occurred before (none: no one)."""
+    w = known.hashes(words)
     m = len(w) - KMER + 1
     if m < 1:
-        return np.zeros(0, np.uint64)
-    with np.errstate(over="ignore"):
-        h = w[:m].copy()
-        for k in range(1, KMER):
-            h = mix(h * M3 + w[k : k + m])
-        order = np.argsort(h, kind="stable")
-        s = h[order]
-        new, at = np.concatenate(([True], s[1:] != s[:-1])), np.arange(m)
-        if new.all():
-            return h
-        nth = np.empty(m, np.uint64)
-        nth[order] = (at - np.maximum.accumulate(np.where(new, at, 0))).astype(np.uint64)
-        return np.where(nth > 0, mix(h + nth * M3), h)
-
-
-def sketch(h: np.ndarray) -> np.ndarray:
-    """One key for each sample: its smallest k-mers, hashed in text order or, for the order-free samples, by size."""
-    low = (h >> np.uint64(32)).astype(np.uint32) ^ h.astype(np.uint32)
-    with np.errstate(over="ignore"):
-        x = low[None, :] * _MUL[:, None]
-        x ^= x >> np.uint32(15)
-        x = (x ^ _XOR[:, None]) * np.uint32(0x846CA68B)
-        x ^= x >> np.uint32(13)
-        rows, places = np.arange(SKETCHES), np.empty((SKETCHES, ORDERED), np.int64)
-        for k in range(ORDERED):
-            places[:, k] = at = x.argmin(axis=1)
-            x[rows, at] = np.uint32(0xFFFFFFFF)
-        places[:IN_ORDER].sort(axis=1)
-        key = rows.astype(np.uint64) + np.uint64(1)
-        for k in range(ORDERED):
-            key = mix(key * M3 + h[places[:, k]])
-    return key
+        return np.zeros(0, np.uint64), None
+    h = w[:m]
+    for k in range(1, KMER):
+        h = mix(h * M3 + w[k : k + m])
+    s = np.sort(h)
+    if (s[1:] != s[:-1]).all():
+        return h, None
+    order, at = np.argsort(h, kind="stable"), np.arange(m)
+    s = h[order]
+    new = np.concatenate(([True], s[1:] != s[:-1]))
+    nth = np.empty(m, np.uint64)
+    nth[order] = (at - np.maximum.accumulate(np.where(new, at, 0))).astype(np.uint64)
+    again = nth > 0
+    return np.where(again, mix(h + nth * M3), h), again
+
+
+def sketch(h: np.ndarray, again: np.ndarray | None = None) -> np.ndarray:
+    """One key for each sample: its smallest k-mers, hashed in text order or, for the order-free samples, by size.
+
+    Samples in text order take labelled k-mers; the others each k-mer once, as the similarity is one of sets. The order of a sample is
+    that of the hashes times its own odd number. Where a text has fewer k-mers, the rest of the key is empty.
+    """
+    x = (h >> np.uint64(32)).astype(np.uint32)[None, :] * _MUL[:, None]
+    if again is not None:
+        x[IN_ORDER:, again] = _NONE
+    places, full = np.empty((SKETCHES, ORDERED), np.int64), np.empty((SKETCHES, ORDERED), bool)
+    for k in range(ORDERED):
+        places[:, k] = at = x.argmin(axis=1)
+        full[:, k] = x[_ROWS, at] != _NONE
+        x[_ROWS, at] = _NONE
+    own = np.where(full, h[places], np.uint64(0))
+    order = np.argsort(places[:IN_ORDER], axis=1)
+    own[:IN_ORDER] = np.take_along_axis(own[:IN_ORDER], order, 1)
+    key = _ROWS.astype(np.uint64) + np.uint64(1)
+    for k in range(ORDERED):
+        key = (key ^ (key >> np.uint64(29))) * M3 + own[:, k]
+    return mix(key)
 
 
 def similarity(a: list[str], b: list[str]) -> float:
@@ -112,7 +117,7 @@ def _sketches(batches):
             words = words_of(text)
             if len(words) < MIN_WORDS:
                 continue
-            keys.append(mix(sketch(kmers(words, known)) ^ np.uint64(known[table])).view(np.int64))
+            keys.append(mix(sketch(*kmers(words, known)) ^ known.hashes([table])).view(np.int64))
             classes.append(np.full(SKETCHES, c, np.int64))
         many = lambda a: pa.array(np.concatenate(a) if a else np.zeros(0, np.int64))
         yield pa.record_batch([many(keys), many(classes)], names=["key", "class"])

@@ -82,11 +82,14 @@ def test_alignment_and_sketch():
     assert m.alignment(a, a) == 1.0 and m.alignment(a, []) == 0.0 and 0.97 < m.alignment(a, a[:50] + ["x"] + a[50:]) < 1
     assert m.alignment(a, a[50:] + a[:50], band=10) < 0.3
     k = WordHash()
-    one, two = m.sketch(m.kmers(a, k)), m.sketch(m.kmers(a[50:] + a[:50], k))
-    assert (one == m.sketch(m.kmers(a, WordHash()))).all()
+    one, two = m.sketch(*m.kmers(a, k)), m.sketch(*m.kmers(a[50:] + a[:50], k))
+    assert (one == m.sketch(*m.kmers(a, WordHash()))).all()
     assert (one[m.IN_ORDER :] == two[m.IN_ORDER :]).sum() > 20 > (one[: m.IN_ORDER] == two[: m.IN_ORDER]).sum()
     again = ["a", "b", "c", "d"] * 3
-    assert len(set(m.kmers(again, k).tolist())) == len(again) - 2
+    h, seen = m.kmers(again, k)
+    assert len(set(h.tolist())) == len(again) - 2 and seen.sum() == len(again) - 2 - 4
+    few, more = (m.sketch(*m.kmers(["same", "word"] * n, k)) for n in (15, 40))
+    assert (few[m.IN_ORDER :] == more[m.IN_ORDER :]).all() and len(set(few.tolist())) == m.SKETCHES
 
 
 def test_components_of_a_chain(spark, rows):
