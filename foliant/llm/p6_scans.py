@@ -184,14 +184,15 @@ def section_noise(text: str, first: int | None, last: int | None, fixes: dict[st
                 pages.add(i)
                 out.append((i + 1, "pageno", str(n), None, None, False, False))
     titles = set()
+    place = {i: k for k, i in enumerate(full)}
     solid = [i for i in full if i not in pages]
     for k, i in enumerate(solid):
         s = lines[i]
         n_words = len(s.split())
         if not _title_like(s, n_words):
             continue
-        at = full.index(i) if len(full) < 50 else None
-        beside = {i - 1, i + 1} & pages or at is not None and {full[at - 1] if at else -1, full[at + 1] if at + 1 < len(full) else -1} & pages
+        at = place[i]
+        beside = {i - 1, i + 1} & pages or {full[at - 1] if at else -1, full[at + 1] if at + 1 < len(full) else -1} & pages
         before = lines[solid[k - 1]] if k else ""
         after = lines[solid[k + 1]] if k + 1 < len(solid) else ""
         # the text before has not ended, or the text after goes on in the middle of a sentence

@@ -40,6 +40,13 @@ def test_context_chooses_between_fixes():
     assert [(r[2], r[3]) for r in out if r[1] == "char"] == [("rnodem", "modem"), ("rnodem", "modern")]
 
 
+def test_header_parted_from_its_page_number_in_a_long_section():
+    for n in (10, 80):
+        body = [f"The provider is paid in month {i}." for i in range(n)]
+        out = m.section_noise("\n".join([*body, "12", "", "Gilowcombe Manual of Claims", "The council is paid last."]), 11, 13, {}, {})
+        assert [(r[0], r[1], r[5]) for r in out if r[0] == n + 3] == [(n + 3, "title?", True)]
+
+
 def test_empty(spark):
     c, d = frames(spark)
     assert m.found(c.where("false"), d.where("false")).count() == m.repaired(c.where("false"), d).count() == 0
