@@ -184,24 +184,26 @@ def pairs(content: DataFrame, chunks: DataFrame) -> DataFrame:
     return every.select("table_name", F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b")).distinct()
 
 
-def components(edges: DataFrame, rounds: int = 50) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """``node, root``: the smallest node that each node of ``a, b`` is connected to.
 
-    Labels run along links and then jump to their label's label; each round is written, so a lost executor costs one round.
+    In each round a node adopts the smallest label at its links, its old label (the root of its tree) is hooked to the smallest
+    label that any of its nodes adopts, and all jump to their label's label, until nothing changes. Trees merge as wholes, so rounds
+    grow with the logarithm of a chain's length; each round is written, so a lost executor costs one round.
     """
     both = materialize(edges.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(edges.select(F.col("b").alias("node"), F.col("a").alias("other"))).distinct(), "cc-edges")
     label = materialize(both.groupBy("node").agg(F.least(F.min("other"), F.first("node")).alias("root")), "cc-label")
-    for _ in range(rounds):
+    while True:
         spread = both.join(label.select(F.col("node").alias("other"), "root"), "other").groupBy("node").agg(F.min("root").alias("seen"))
-        jump = label.select(F.col("node").alias("root"), F.col("root").alias("next"))
-        new = materialize(
-            label.join(spread, "node").join(jump, "root").select("node", F.least("root", "seen", "next").alias("new"), "root"), "cc-label"
-        )
-        label_next = new.select("node", F.col("new").alias("root"))
-        if new.where("new <> root").isEmpty():
-            return label_next
-        label = label_next
-    return label
+        adopted = label.join(spread, "node").select("node", "root", F.least("root", "seen").alias("seen"))
+        # labels are nodes; a label's own row takes what any of its nodes has seen
+        hooks = adopted.groupBy(F.col("root").alias("node")).agg(F.min("seen").alias("hook"))
+        hooked = materialize(adopted.join(hooks, "node", "left").select("node", F.col("root").alias("old"), F.least("seen", "hook").alias("root")), "cc-hook")
+        jump = hooked.select(F.col("node").alias("root"), F.col("root").alias("next"))
+        new = materialize(hooked.join(jump, "root").select("node", F.least("root", "next").alias("root"), "old"), "cc-label")
+        label = new.select("node", "root")
+        if new.where("root <> old").isEmpty():
+            return label
 
 
 def groups(content: DataFrame, chunks: DataFrame) -> DataFrame:

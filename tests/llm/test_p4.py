@@ -97,6 +97,15 @@ def test_components_of_a_chain(spark, rows):
     assert rows(m.components(edges)) == sorted([(i, 1) for i in range(1, 41)] + [(100, 100), (101, 100)])
 
 
+def test_components_of_shuffled_chains(spark, rows):
+    r = random.Random(5)
+    ids = [r.getrandbits(63) - 2**62 for _ in range(900)]
+    chains = [ids[:400], ids[400:800], ids[800:]]
+    links = [(min(a, b), max(a, b)) for c in chains for a, b in zip(c, c[1:])]
+    r.shuffle(links)
+    assert rows(m.components(spark.createDataFrame(links, "a bigint, b bigint"))) == sorted((x, min(c)) for c in chains for x in c)
+
+
 def test_empty_tables(spark):
     content, chunks = frames(spark, [(1, "x")])
     assert m.pairs(content.where("false"), chunks.where("false")).count() == m.groups(content.where("false"), chunks.where("false")).count() == 0
