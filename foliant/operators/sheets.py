@@ -91,6 +91,17 @@ def wide(long: DataFrame, columns: list[str]) -> DataFrame:
     return long.groupBy("collection_path", "sort_order").agg(*[F.max(F.when(F.col("column") == c, F.col("value"))).alias(c) for c in columns])
 
 
+def wide_all(long: DataFrame) -> DataFrame:
+    """All structured tables under one another with the union of their columns; a column that a sheet lacks is null.
+
+    The distinct column names, a list that the sheets' headers bound, are collected to name the columns.
+    """
+    columns = sorted(r[0] for r in long.select("column").distinct().collect())
+    values = [F.max(F.when(F.col("column") == c, F.col("value"))).alias(c) for c in columns]
+    keys = ["structured_table", "collection_path", "sort_order"]
+    return long.groupBy(*keys).agg(*values) if values else long.select(*keys).distinct()
+
+
 def overlap(incoming: list[str], existing: list[str], threshold: float = OVERLAP) -> tuple[float, float, bool]:
     """Shares of the common columns in either list, and whether to accept: not if both are below the threshold."""
     both = len(set(incoming) & set(existing))

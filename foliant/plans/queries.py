@@ -85,6 +85,11 @@ def structured_wide(spark, d):
     return sheets.wide(own, ["col_item", "col_description", "col_amount", "col_effective", "col_rule_ref"])
 
 
+@query
+def structured_wide_all(spark, d):
+    return sheets.wide_all(_long(spark, d))
+
+
 @query
 def structured_columns(spark, d):
     return _long(spark, d).groupBy("structured_table", "column").agg(F.count("*").alias("n"), F.count("value").alias("n_filled"), F.count_distinct("collection_path").alias("n_sheets"))

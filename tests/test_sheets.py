@@ -1,3 +1,4 @@
+import os
 import zipfile
 
 import pytest
@@ -84,3 +85,23 @@ def test_input_failures(tmp_path):
     (tmp_path / "b.xlsx").write_text("no")
     asked = [("a.xlsx", {"sheet": "Products"}), ("a.xlsx", {"sheet": "X"}), ("b.xlsx", {"sheet": "X"}), ("c.xlsx", {"sheet": "X"}), ("a.xlsx", {"sheet": "Products", "header_row": 9}), ("a.xlsx", {"sheet": "Products", "collection_path": "A"})]
     assert [r[2] for r in xlsx.input_failures(asked, str(tmp_path))] == ["no such sheet", "no workbook", "no file", "no rows", "invalid path"]
+
+
+def test_wide_all_keeps_every_table_and_column(spark, rows):
+    content = spark.createDataFrame([("a", 1, "Item: x\nFlag: y"), ("b", 1, "HC Code: 7\nItem: "), ("c", 1, "Item: z"), ("d", 1, "Lost: 1")], "collection_path string, sort_order int, row_text string")
+    targets = spark.createDataFrame([("a", "attribution"), ("b", "fees"), ("c", "attribution"), ("c", "fees"), ("d", None)], "collection_path string, structured_table string")
+    got = s.wide_all(s.long_form(content, targets))
+    assert got.columns == ["structured_table", "collection_path", "sort_order", "col_flag", "col_hc_code", "col_item"]
+    assert rows(got) == [("attribution", "a", 1, "y", None, "x"), ("attribution", "c", 1, None, None, "z"), ("fees", "b", 1, None, "7", None), ("fees", "c", 1, None, None, "z")]
+    assert s.wide_all(s.long_form(content, targets.where("false"))).count() == 0
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test data here")
+def test_wide_all_query_holds_every_value_of_the_long_form(spark):
+    import __spark_entry__ as entry
+
+    wide, long = (entry.queries()[q](spark, "/root/testdata/sf0.001") for q in ("structured_wide_all", "structured_long"))
+    cells = long.where("value is not null").select("structured_table", "collection_path", "sort_order", "column").distinct().count()
+    names = [c for c in wide.columns if c.startswith("col_")]
+    assert {r[0] for r in long.select("column").distinct().collect()} == set(names)
+    assert sum(sum(v is not None for v in (r[c] for c in names)) for r in wide.collect()) == cells > 0
