@@ -285,11 +285,11 @@ def headers(found: DataFrame, document: DataFrame) -> DataFrame:
     """``section_id, line_no`` of running headers."""
     lines = found.where("what = 'title?'").select("section_id", "path", "line_no", F.col("x").alias("key"), "near", "broken").distinct()
     by_doc = lines.groupBy("path", "key").agg(F.count("*").alias("times"), F.count_if("near").alias("n_near"), F.count_if(F.col("near") | F.col("broken")).alias("n_signs"))
-    docs = by_doc.groupBy("key").agg(F.count("*").alias("n_docs"))
     titles = document.where("title is not null").mapInArrow(_titles, "path string, whole string, tail string").where(F.length("tail") >= SHORT_TITLE).groupBy("path").agg(F.collect_set("whole").alias("wholes"), F.collect_set("tail").alias("tails"))
-    said = by_doc.join(docs, "key").join(titles, "path", "left")
+    said = by_doc.join(titles, "path", "left")
     named = (F.length("key") >= SHORT_TITLE) & (F.exists("wholes", lambda t: F.contains(t, F.col("key"))) | F.exists("tails", lambda t: F.contains(F.col("key"), t)))
-    again = (F.length("key") >= SHORT_TITLE) & (F.col("times") >= 2) & (F.col("n_near") * 4 >= F.col("times")) & (F.col("n_docs") <= 5)
+    # the evidence lies within the document, so a header that many documents share counts in each
+    again = (F.length("key") >= SHORT_TITLE) & (F.col("times") >= 2) & (F.col("n_near") * 4 >= F.col("times"))
     good = said.where(F.coalesce(named, F.lit(False)) | again).select("path", "key")
     return lines.join(good, ["path", "key"], "left_semi").select("section_id", "line_no").distinct()
 

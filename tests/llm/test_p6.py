@@ -47,6 +47,13 @@ def test_header_parted_from_its_page_number_in_a_long_section():
         assert [(r[0], r[1], r[5]) for r in out if r[0] == n + 3] == [(n + 3, "title?", True)]
 
 
+def test_header_that_many_documents_share(spark):
+    text = "\n".join(["Gilowcombe Manual of Claims", "11", "The provider is paid.", "Gilowcombe Manual of Claims", "12", "The council is paid."])
+    content = spark.createDataFrame([(i, f"c.s.d{i}", text, 11, 12, "k") for i in range(8)], CONTENT)
+    got = m.found(content, spark.createDataFrame([], DOCS)).where("kind = 'header'").collect()
+    assert sorted((r.section_id, r.line_no) for r in got) == [(i, n) for i in range(8) for n in (1, 4)]
+
+
 def test_empty(spark):
     c, d = frames(spark)
     assert m.found(c.where("false"), d.where("false")).count() == m.repaired(c.where("false"), d).count() == 0
