@@ -166,11 +166,11 @@ def _title_like(s: str, n_words: int) -> bool:
     return 3 <= n_words <= 20 and 14 <= len(s) <= 140 and (s[0].isupper() or s[0].isdigit()) and s[-1] not in ",;:!?" and "|" not in s and "\t" not in s
 
 
-def section_noise(text: str, first: int | None, last: int | None, fixes: dict[str, list[str]], context: dict[tuple[str, str], int]) -> list[tuple]:
+def section_noise(text: str, first: int | None, last: int | None, fixes: dict[str, list[str]], context: dict[tuple[str, str], int] | None = None) -> list[tuple]:
     """``line_no, what, x, y, z, near, broken`` of what may be noise in one section.
 
     ``pageno``; ``hyphen?`` with the joined and hyphenated form and the hanging one; ``title?`` with its key and whether it is beside a page number
-    or interrupts the text; ``char`` with the word and its repair.
+    or interrupts the text; ``char`` with the word and its repair; without ``context``, ``char?`` with the word, the repairs to choose from and the word before.
     """
     lines = [x.strip() for x in text.split("\n")]
     full = [i for i, x in enumerate(lines) if x]
@@ -230,6 +230,9 @@ def section_noise(text: str, first: int | None, last: int | None, fixes: dict[st
                     to = fixes[low]
                     if len(to) > 1:
                         before = ws[k - 1].lower() if k else ""
+                        if context is None:
+                            out.append((i + 1, "char?", w, "\n".join(to), before, False, False))
+                            continue
                         to = sorted(to, key=lambda f: -context.get((before, f), 0))
                     out.append((i + 1, "char", w, to[0].upper() if w.isupper() else to[0].capitalize() if w[0].isupper() else to[0], None, False, False))
     return out
@@ -240,11 +243,11 @@ def _candidates(shared):
     names = [f.split()[0] for f in CANDIDATES.split(", ")]
 
     def run(batches):
-        fixes, context, only_char = shared.value
+        fixes, only_char = shared.value
         for b in batches:
             rows = []
             for sid, path, text, first, last in zip(*(b.column(c).to_pylist() for c in ("section_id", "collection_path", "content_text", "page_start", "page_end"))):
-                rows += [(sid, path, *r) for r in section_noise(text, first, last, fixes, context) if not only_char or r[1] == "char"]
+                rows += [(sid, path, *r) for r in section_noise(text, first, last, fixes) if not only_char or r[1] in ("char", "char?")]
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * len(types), types)], names=names)
 
     return run
@@ -256,18 +259,30 @@ def candidates(content: DataFrame, words: DataFrame) -> DataFrame:
     fixes = materialize(misreadings(words), "p6-fixes")
     slices = max(1, -(-fixes.count() // MAX_FIXES))
     texts = content.where("content_text is not null and section_id is not null").select("section_id", "collection_path", "content_text", "page_start", "page_end")
-    out = None
+    out = near = None
     for k in range(slices):
         rows = fixes.where(F.pmod(F.xxhash64("seen"), F.lit(slices)) == k).toArrow().to_pylist()
         table = {r["seen"]: r["fixes"] for r in rows}
         open_ = {f for t in table.values() if len(t) > 1 for f in t}
-        context = {}
         if open_:
-            near = texts.select("content_text").mapInArrow(_contexts(spark.sparkContext.broadcast(open_)), "before string, word string, n bigint").groupBy("before", "word").agg(F.sum("n").alias("n"))
-            context = {(r.before, r.word): r.n for r in near.where("n > 1").orderBy(F.desc("n")).limit(MAX_FIXES).collect()}
-        part = texts.mapInArrow(_candidates(spark.sparkContext.broadcast((table, context, k > 0))), CANDIDATES)
+            counts = texts.select("content_text").mapInArrow(_contexts(spark.sparkContext.broadcast(open_)), "before string, word string, n bigint").groupBy("before", "word").agg(F.sum("n").alias("n"))
+            near = counts if near is None else near.unionByName(counts)
+        part = texts.mapInArrow(_candidates(spark.sparkContext.broadcast((table, k > 0))), CANDIDATES)
         out = part if out is None else out.unionByName(part)
-    return materialize(out, "p6-candidates")
+    found = materialize(out, "p6-candidates")
+    return found if near is None else found.where("what <> 'char?'").unionByName(chosen(found, near.distinct()))
+
+
+def chosen(found: DataFrame, near: DataFrame) -> DataFrame:
+    """``char?`` as ``char``: the repair that most often follows the word before, of equal ones the most frequent form."""
+    keys = ["section_id", "path", "line_no", "x", "y", "z"]
+    each = found.where("what = 'char?'").select(*keys).distinct().select(*keys, F.posexplode(F.split("y", "\n")).alias("pos", "word"))
+    counted = each.join(near.withColumnRenamed("before", "z"), ["z", "word"], "left")
+    best = counted.groupBy(*keys).agg(F.max(F.struct(F.coalesce("n", F.lit(0)).alias("n"), (-F.col("pos")).alias("pos"), "word"))["word"].alias("fix"))
+    first = F.substring("x", 1, 1)
+    cased = F.when((F.upper("x") == F.col("x")) & (F.lower("x") != F.col("x")), F.upper("fix")).when(F.lower(first) != first, F.initcap("fix")).otherwise(F.col("fix"))
+    no, none = F.lit(False), F.lit(None).cast("string")
+    return best.select("section_id", "path", "line_no", F.lit("char").alias("what"), "x", cased.alias("y"), none.alias("z"), no.alias("near"), no.alias("broken"))
 
 
 def hyphens(found: DataFrame, words: DataFrame) -> DataFrame:

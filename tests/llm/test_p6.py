@@ -54,6 +54,13 @@ def test_header_that_many_documents_share(spark):
     assert sorted((r.section_id, r.line_no) for r in got) == [(i, n) for i in range(8) for n in (1, 4)]
 
 
+def test_context_seen_once_chooses(spark):
+    said = ["the modern house"] * 40 + ["old modem lines"] * 30 + ["use a modem here", "use a rnodem here", "use a RNODEM here", "the Rnodem house"]
+    content = spark.createDataFrame([(i, "c.s.d", t, None, None, "k") for i, t in enumerate(said)], CONTENT)
+    got = m.noise(content, spark.createDataFrame([], DOCS)).where("kind = 'char'").collect()
+    assert sorted((r.section_id, r.word, r.fix) for r in got) == [(71, "rnodem", "modem"), (72, "RNODEM", "MODEM"), (73, "Rnodem", "Modern")]
+
+
 def test_empty(spark):
     c, d = frames(spark)
     assert m.found(c.where("false"), d.where("false")).count() == m.repaired(c.where("false"), d).count() == 0
