@@ -37,6 +37,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p3_pieces": _both(lambda a, b: p3_split.pieces(p3_split.items(a, b))),
         "p4_found": _both(p4_near.pairs),
         "p4_groups": _both(p4_near.groups),
+        "p4_links": _both(p4_near.links),
         "p5_found": _and("common_words", p5_quality.found),
         "p5_quality": _and("common_words", p5_quality.quality),
         "p6_found": _and("document", p6_scans.found),

@@ -1,5 +1,7 @@
 import random
 
+import numpy as np
+
 from foliant.llm import p4_near as m
 from foliant.llm.common import WordHash, words_of
 
@@ -61,6 +63,42 @@ def test_large_classes_become_stars(spark, monkeypatch):
     assert got == {(0, i) for i in range(1, 8)} | {(0, 20)}
 
 
+def test_large_classes_as_pairs(spark, monkeypatch):
+    monkeypatch.setattr(m, "EXPANDED", 3)
+    r = random.Random(9)
+    base = text(r, 60)
+    data = [(i, base) for i in range(8)] + [(20, edit(r, base, 2))]
+    got = {(x.id_a, x.id_b) for x in m.pairs(*frames(spark, data), all_pairs=True).collect() if x.table_name == "document_content"}
+    assert got == {(i, j) for i in range(8) for j in [*range(i + 1, 8), 20]}
+
+
+def test_bound_is_never_too_low():
+    r, k = random.Random(3), WordHash()
+    for _ in range(200):
+        a = text(r, r.choice([20, 60, 300, 900]))
+        b = edit(r, a, r.randint(0, 60)) if r.random() < 0.7 else text(r, 80)
+        x, y = (m.kmers(words_of(t), k) for t in (a, b))
+        x, y = (h if again is None else h[~again] for h, again in (x, y))
+        maps = [np.frombuffer(m.bitmap(h), np.uint8)[None, :] for h in (x, y)]
+        both = len(set(x.tolist()) & set(y.tolist()))
+        assert m.most_shared(*maps, np.array([len(x)]), np.array([len(y)]))[0] >= both
+        assert m.aligned(x.tolist(), y.tolist()) <= both
+    # and near enough to reject texts that share little
+    a, b = (m.kmers(text(r, 250).split(), k)[0] for _ in range(2))
+    maps = [np.frombuffer(m.bitmap(h), np.uint8)[None, :] for h in (a, b)]
+    assert not m.enough(m.most_shared(*maps, np.array([len(a)]), np.array([len(b)]))[0], len(a), len(b))
+
+
+def test_alignment_decides_how_a_pair_is_verified(spark, monkeypatch):
+    r = random.Random(4)
+    base = text(r, 120).split()
+    data = [(1, " ".join(base)), (2, edit(r, " ".join(base), 3)), (3, " ".join(base[70:] + base[:70]))]
+    how = lambda: {(x.id_a, x.id_b): x.how for x in m.links(*frames(spark, data)).collect() if x.table_name == "document_content"}
+    assert how() == {(1, 2): "aligned", (1, 3): "moved", (2, 3): "moved"}
+    monkeypatch.setattr(m, "aligned", lambda *_: 0)
+    assert set(how().values()) == {"moved"}
+
+
 def test_groups_connect_what_is_linked(spark):
     data = make()
     got = [r for r in m.groups(*frames(spark, data)).collect() if r.table_name == "document_content"]
