@@ -7,12 +7,19 @@ the corpus knows the joined form better than the hyphenated one. Headers are lin
 masked and by skeleton, return in the document's pages where the text is interrupted, or name the document's title. Page numbers
 lie within the section's pages. Repaired text is reflowed over windows of the kept lines.
 
-Sizes. The vocabulary stays distributed; only the table of misreadings is broadcast, in slices of at most
-``MAX_FIXES`` words, one pass over the texts each. Lines leave the map only as candidates.
+Sizes. The vocabulary, the misreadings and the counts of contexts stay distributed. Forms of a skeleton meet in a join that AQE may
+split, the frequent ones on one side and those a few times rarer on the other. What is broadcast is a sieve: a Bloom filter of the
+misread forms, of ``SIEVE_BITS`` bits (8 MB) at most. Words that pass it leave the one pass over the texts with the word before them,
+and a join with the misreadings decides; more misreadings than the sieve has room for let more words pass and change nothing else.
+
+What counts as evidence. A misread word differs in at most three characters, or half of them if that is more. Words of two or three
+characters have too many neighbours: they count only if they mix letters with digits or ligatures and stand alone in a line of words. A header starts with a capital
+or digit, does not end like a clause, and has 3 to 20 words and 14 to 140 characters, unless it is beside a page number: then
+its length doesn't matter.
 
 Defined cases: null, empty and blank texts have no noise and stay as they are; rows sent twice count once; sections
-without pages have no page numbers, one without an end is taken to end ``OPEN_PAGES`` after its start; rows with a null
-section are left out.
+without pages have no page numbers; in one without an end they run on as long as each is at most ``OPEN_PAGES`` above
+the one before; rows with a null section are left out.
 """
 
 from __future__ import annotations
@@ -20,6 +27,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -38,11 +46,14 @@ STROKES = str.maketrans(
 )
 #: Marks that break a word at a line end.
 MARKS = "-‐­¬"
-MAX_FIXES, OPEN_PAGES = 500_000, 4
-SHORTEST, LONGEST = 4, 40
+OPEN_PAGES = 4
+#: Bits of the sieve at most, and for each form.
+SIEVE_BITS, SIEVE_EACH = 1 << 26, 16
+#: Characters below which a misread word must mix letters with digits or ligatures.
+SHORT = 4
 #: A misreading is at least so many times rarer than the form it stands for.
 RARER = 4
-#: Strokes of the shortest key that can name a header.
+#: Strokes below which a key can't name a title, and is a header only if it is always beside a page number.
 SHORT_TITLE = 14
 
 _TOKEN = re.compile(r"[^\W_]+(?:-[^\W_]+)*-?")
@@ -57,19 +68,29 @@ def skeleton(word: str) -> str:
     return word.translate(STROKES)
 
 
-def explains(true: str, seen: str, most: int = 3) -> bool:
-    """Whether ``seen`` is ``true`` with one to ``most`` characters misread."""
+_BY_FIRST: dict[str, list[tuple[str, str]]] = {}
+for _pair in CONFUSED:
+    _BY_FIRST.setdefault(_pair[0][0], []).append(_pair)
+
 
-    def walk(i: int, j: int, left: int, used: bool) -> bool:
-        while i < len(true) and j < len(seen) and true[i] == seen[j]:
-            if left and any(true.startswith(a, i) and seen.startswith(b, j) and walk(i + len(a), j + len(b), left - 1, True) for a, b in CONFUSED):
-                return True
-            i, j = i + 1, j + 1
-        if i == len(true) and j == len(seen):
-            return used
-        return left > 0 and any(true.startswith(a, i) and seen.startswith(b, j) and walk(i + len(a), j + len(b), left - 1, True) for a, b in CONFUSED)
+def misread(true: str, seen: str) -> int | None:
+    """The fewest characters of ``true`` misread to give ``seen``; None if the confusions don't explain it."""
+    n, m = len(true), len(seen)
+    costs: list[dict[int, int]] = [{} for _ in range(n + 1)]
+    costs[0][0] = 0
+    for i in range(n):
+        for j, c in costs[i].items():
+            if j < m and true[i] == seen[j] and costs[i + 1].get(j + 1, c + 1) > c:
+                costs[i + 1][j + 1] = c
+            for a, b in _BY_FIRST.get(true[i], ()):
+                if true.startswith(a, i) and seen.startswith(b, j) and costs[i + len(a)].get(j + len(b), c + 2) > c + 1:
+                    costs[i + len(a)][j + len(b)] = c + 1
+    return costs[n].get(m)
 
-    return true != seen and walk(0, 0, most, False)
+
+def explains(true: str, seen: str, most: int = 3) -> bool:
+    """Whether ``seen`` is ``true`` with one to ``most`` characters misread, or up to half of them."""
+    return 0 < (misread(true, seen) or 0) <= max(most, len(true) // 2)
 
 
 def page_number(line: str) -> int | None:
@@ -103,11 +124,10 @@ def _parts(counts: Counter) -> Counter:
     """Hyphenated words count as such and with each part."""
     out: Counter = Counter()
     for w, n in counts.items():
-        if len(w) <= 2 * LONGEST:
-            out[w] += n
-            if "-" in w:
-                for part in w.strip("-").split("-"):
-                    out[part] += n
+        out[w] += n
+        if "-" in w:
+            for part in w.strip("-").split("-"):
+                out[part] += n
     return out
 
 
@@ -122,39 +142,91 @@ def _skeletons(batches):
         yield pa.record_batch([*b.columns, pa.array([skeleton(w) for w in words], pa.string())], names=["word", "n", "skeleton"])
 
 
-def _misread(batches):
+def _explained(batches):
     for b in batches:
-        rows = []
-        for forms in b.column("forms").to_pylist():
-            forms = sorted(((f["n"], f["word"]) for f in forms), reverse=True)
-            for n, seen in forms:
-                if len(seen) < SHORTEST:
-                    continue
-                odd = any(c.isdigit() or c == "ﬁ" for c in seen)
-                fits = [(m, true) for m, true in forms if (m >= RARER * n and m >= 3 or odd and m >= 2 and m > n) and true.isalpha() and "ﬁ" not in true and explains(true, seen)]
-                if fits:
-                    rows.append((seen, [t for m, t in fits if m * 20 >= fits[0][0]]))
-        yield pa.record_batch([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.list_(pa.string()))], names=["seen", "fixes"])
+        keep = [explains(t, w) for t, w in zip(b.column("true").to_pylist(), b.column("seen").to_pylist())]
+        yield b.filter(pa.array(keep, pa.bool_()))
 
 
 def misreadings(words: DataFrame) -> DataFrame:
     """``seen, fixes``: rare forms and the frequent forms that they stand for, the most frequent first."""
-    plain = words.where(F.length("word").between(3, LONGEST) & ~F.contains("word", F.lit("-")))
-    groups = plain.mapInArrow(_skeletons, "word string, n bigint, skeleton string").groupBy("skeleton").agg(F.collect_list(F.struct("word", "n")).alias("forms"))
-    return groups.where("size(forms) > 1").select("forms").mapInArrow(_misread, "seen string, fixes array<string>")
+    plain = words.where((F.length("word") >= 2) & ~F.contains("word", F.lit("-"))).mapInArrow(_skeletons, "word string, n bigint, skeleton string")
+    own = F.col("word")
+    odd = own.rlike(r"\p{Nd}|ﬁ")
+    seen = plain.where((F.length("word") >= SHORT) | (odd & own.rlike(r"\p{L}"))).select("skeleton", own.alias("seen"), F.col("n").alias("k"), odd.alias("odd"))
+    true = plain.where((F.col("n") >= 2) & ~own.rlike(r"[^\p{L}]|ﬁ")).select("skeleton", own.alias("true"), "n")
+    often = ((F.col("n") >= RARER * F.col("k")) & (F.col("n") >= 3)) | (F.col("odd") & (F.col("n") > F.col("k")) & (F.length("seen") >= SHORT))
+    # a misread character adds or takes away one character at most
+    near = F.abs(F.length("true") - F.length("seen")) <= F.greatest(F.lit(3), F.length("true") / 2)
+    fits = seen.join(true, "skeleton").where(often & near & (F.col("true") != F.col("seen"))).select("seen", "true", "n").mapInArrow(_explained, "seen string, true string, n bigint")
+    each = fits.groupBy("seen").agg(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("r"), F.col("true")))).alias("f"))
+    kept = F.filter("f", lambda x: x["r"] * 20 <= F.element_at("f", 1)["r"])
+    return each.select("seen", F.transform(kept, lambda x: x["true"]).alias("fixes"))
+
+
+class Sieve:
+    """A Bloom filter of words; ``in`` may be true for words that are not of it, and remembers its answers within a bound."""
+
+    REMEMBERED = 400_000
+
+    def __init__(self, bits: np.ndarray):
+        self.bits, self.known = bits, {}
+
+    def __contains__(self, w: str) -> bool:
+        got = self.known.get(w)
+        if got is None:
+            if len(self.known) >= self.REMEMBERED:
+                self.known.clear()
+            last = len(self.bits) * 64 - 1
+            got = self.known[w] = all(int(self.bits[p >> 6]) >> (p & 63) & 1 for p in places(w, last))
+        return got
+
+    def __reduce__(self):
+        return Sieve, (self.bits,)
+
+
+def places(w: str, last: int) -> tuple[int, int, int]:
+    """The three bits of a word, by double hashing."""
+    import xxhash
+
+    h = xxhash.xxh64_intdigest(w)
+    a, b = h & 0xFFFFFFFF, h >> 32 | 1
+    return a & last, (a + b) & last, (a + 2 * b) & last
+
+
+def sieve(words: DataFrame, column: str) -> Sieve:
+    """The sieve of a column's words: bits are set in Spark, and at most ``SIEVE_BITS`` of them come to the driver as whole numbers of 64."""
+    size = min(SIEVE_BITS, 1 << max(10, int(SIEVE_EACH * words.count()).bit_length()))
+
+    def bits(batches):
+        for b in batches:
+            at = np.array([p for w in b.column(0).to_pylist() for p in places(w, size - 1)], np.int64)
+            cell, inverse = np.unique(at >> 6, return_inverse=True)
+            mask = np.zeros(len(cell), np.uint64)
+            np.bitwise_or.at(mask, inverse, np.uint64(1) << (at & 63).astype(np.uint64))
+            yield pa.record_batch([pa.array(cell), pa.array(mask.view(np.int64))], names=["cell", "mask"])
+
+    t = words.select(column).mapInArrow(bits, "cell bigint, mask bigint").groupBy("cell").agg(F.bit_or("mask").alias("mask")).toArrow()
+    own = np.zeros(size // 64, np.uint64)
+    own[t.column("cell").to_numpy()] = t.column("mask").to_numpy().view(np.uint64)
+    return Sieve(own)
 
 
 def _contexts(shared):
     def run(batches):
         wanted, counts = shared.value, Counter()
+
+        def out():
+            return pa.record_batch([pa.array([p for p, _ in counts], pa.string()), pa.array([w for _, w in counts], pa.string()), pa.array(list(counts.values()), pa.int64())], names=["before", "word", "n"])
+
         for b in batches:
             for text in b.column("content_text").to_pylist():
                 ws = WORD.findall(text.lower())
                 counts.update((p, w) for p, w in zip(ws, ws[1:]) if w in wanted)
             if len(counts) > 200_000:
-                yield pa.record_batch([pa.array([p for p, _ in counts]), pa.array([w for _, w in counts]), pa.array(list(counts.values()), pa.int64())], names=["before", "word", "n"])
+                yield out()
                 counts = Counter()
-        yield pa.record_batch([pa.array([p for p, _ in counts], pa.string()), pa.array([w for _, w in counts], pa.string()), pa.array(list(counts.values()), pa.int64())], names=["before", "word", "n"])
+        yield out()
 
     return run
 
@@ -162,79 +234,101 @@ def _contexts(shared):
 CANDIDATES = "section_id bigint, path string, line_no int, what string, x string, y string, z string, near boolean, broken boolean"
 
 
+def _title_form(s: str) -> bool:
+    return (s[0].isupper() or s[0].isdigit()) and s[-1] not in ",;:!?" and "|" not in s and "\t" not in s
+
+
 def _title_like(s: str, n_words: int) -> bool:
-    return 3 <= n_words <= 20 and 14 <= len(s) <= 140 and (s[0].isupper() or s[0].isdigit()) and s[-1] not in ",;:!?" and "|" not in s and "\t" not in s
+    return 3 <= n_words <= 20 and 14 <= len(s) <= 140 and _title_form(s)
+
 
+def _stands_alone(w: str, line: str) -> bool:
+    """Whether a line of several words has the word by itself, but for marks around it."""
+    ws = line.split()
+    return len(ws) > 2 and any(x.strip(".,;:!?()[]\"'") == w for x in ws)
 
-def section_noise(text: str, first: int | None, last: int | None, fixes: dict[str, list[str]], context: dict[tuple[str, str], int] | None = None) -> list[tuple]:
+
+def section_noise(text: str, first: int | None, last: int | None, fixes: dict[str, list[str]] | Sieve, context: dict[tuple[str, str], int] | None = None) -> list[tuple]:
     """``line_no, what, x, y, z, near, broken`` of what may be noise in one section.
 
     ``pageno``; ``hyphen?`` with the joined and hyphenated form and the hanging one; ``title?`` with its key and whether it is beside a page number
-    or interrupts the text; ``char`` with the word and its repair; without ``context``, ``char?`` with the word, the repairs to choose from and the word before.
+    or interrupts the text; ``char`` with the word and its repair; by a sieve, ``char?`` with the word, its lower-case form and the word before.
     """
     lines = [x.strip() for x in text.split("\n")]
     full = [i for i, x in enumerate(lines) if x]
     out: list[tuple] = []
     pages = set()
     if first is not None:
-        hi = last if last is not None else first + OPEN_PAGES
+        top = first
         for i in full:
-            n = page_number(lines[i]) if len(lines[i]) <= 24 else None
-            if n is not None and first <= n <= hi:
+            n = page_number(lines[i])
+            if n is not None and first <= n and (n <= last if last is not None else n <= top + OPEN_PAGES):
+                top = max(top, n)
                 pages.add(i)
                 out.append((i + 1, "pageno", str(n), None, None, False, False))
     titles = set()
     place = {i: k for k, i in enumerate(full)}
     solid = [i for i in full if i not in pages]
+    alike = {}
     for k, i in enumerate(solid):
         s = lines[i]
         n_words = len(s.split())
-        if not _title_like(s, n_words):
-            continue
+        alike[i] = like = _title_like(s, n_words)
         at = place[i]
         beside = {i - 1, i + 1} & pages or {full[at - 1] if at else -1, full[at + 1] if at + 1 < len(full) else -1} & pages
+        if not like and not (beside and _title_form(s)):
+            continue
         before = lines[solid[k - 1]] if k else ""
         after = lines[solid[k + 1]] if k + 1 < len(solid) else ""
         # the text before has not ended, or the text after goes on in the middle of a sentence
         broken = bool(before and before[-1] not in ".!?:;\"')" and not (before.isupper() and not s.isupper())) or bool(after and after[0].islower())
         if beside or broken or k == 0 or s.isupper() or s.startswith(("Chapter", "CHAPTER")):
             out.append((i + 1, "title?", title_key(s), None, None, bool(beside), broken))
-            if beside or broken:
+            if like and (beside or broken):
                 titles.add(i)
     parts: dict[int, list[bool]] = {}
+    # the next line that goes on with a word broken above it, or shows that none does: for words in capitals a line in capitals may
+    low = cap = -1
+    nexts = {}
+    for k in range(len(solid) - 1, -1, -1):
+        i = solid[k]
+        if lines[i][-1] in MARKS:
+            nexts[k] = (low, cap)
+        letters, word = any(c.isalpha() for c in lines[i]), WORD.match(lines[i])
+        if word and lines[i][0].islower():
+            low = cap = i
+        elif letters and not alike[i]:
+            low = cap = i
+        elif word and lines[i][0].isupper() and i not in titles:
+            cap = i
     for k, i in enumerate(solid):
-        if lines[i][-1] not in MARKS:
+        if k not in nexts:
             continue
         m = _BROKEN.search(lines[i])
         if not m:
             continue
         head = (m[1] + m[2]).split("-")[-1]
-        for j in solid[k + 1 : k + 5]:
-            tail = WORD.match(lines[j])
-            if tail and (lines[j][0].islower() or head.isupper() and lines[j][0].isupper() and j not in titles):
-                joined = (head + tail[0]).lower()
-                whole = re.match(r"[^\W_]+(?:-[^\W_]+)*", lines[j])[0]
-                out.append((i + 1, "hyphen?", joined, f"{m[1]}{m[2]}-{whole}".lower(), f"{head}-".lower(), m[3] != "-", False))
-                parts.setdefault(i, [False, False])[1] = True
-                parts.setdefault(j, [False, False])[0] = True
-                break
-            if any(c.isalpha() for c in lines[j]) and not (j in titles or _title_like(lines[j], len(lines[j].split()))):
-                break
-    if fixes:
-        for i in solid:
-            ws = WORD.findall(lines[i])
-            own = parts.get(i, (False, False))
-            for k, w in enumerate(ws):
-                low = w.lower()
-                if low in fixes and not (own[0] and k == 0) and not (own[1] and k == len(ws) - 1):
-                    to = fixes[low]
-                    if len(to) > 1:
-                        before = ws[k - 1].lower() if k else ""
-                        if context is None:
-                            out.append((i + 1, "char?", w, "\n".join(to), before, False, False))
-                            continue
-                        to = sorted(to, key=lambda f: -context.get((before, f), 0))
-                    out.append((i + 1, "char", w, to[0].upper() if w.isupper() else to[0].capitalize() if w[0].isupper() else to[0], None, False, False))
+        j = nexts[k][1 if head.isupper() else 0]
+        tail = WORD.match(lines[j]) if j >= 0 else None
+        if tail and (lines[j][0].islower() or head.isupper() and lines[j][0].isupper() and j not in titles):
+            joined = (head + tail[0]).lower()
+            whole = re.match(r"[^\W_]+(?:-[^\W_]+)*", lines[j])[0]
+            out.append((i + 1, "hyphen?", joined, f"{m[1]}{m[2]}-{whole}".lower(), f"{head}-".lower(), m[3] != "-", False))
+            parts.setdefault(i, [False, False])[1] = True
+            parts.setdefault(j, [False, False])[0] = True
+    sieved = isinstance(fixes, Sieve)
+    for i in solid if sieved or fixes else ():
+        ws = WORD.findall(lines[i])
+        own = parts.get(i, (False, False))
+        for k, w in enumerate(ws):
+            low_ = w.lower()
+            if low_ in fixes and not (own[0] and k == 0) and not (own[1] and k == len(ws) - 1) and (len(w) >= SHORT or _stands_alone(w, lines[i])):
+                before = ws[k - 1].lower() if k else ""
+                if sieved:
+                    out.append((i + 1, "char?", w, low_, before, False, False))
+                    continue
+                to = sorted(fixes[low_], key=lambda f: -(context or {}).get((before, f), 0))[0]
+                out.append((i + 1, "char", w, to.upper() if w.isupper() else to.capitalize() if w[0].isupper() else to, None, False, False))
     return out
 
 
@@ -243,11 +337,11 @@ def _candidates(shared):
     names = [f.split()[0] for f in CANDIDATES.split(", ")]
 
     def run(batches):
-        fixes, only_char = shared.value
+        fixes = shared.value
         for b in batches:
             rows = []
             for sid, path, text, first, last in zip(*(b.column(c).to_pylist() for c in ("section_id", "collection_path", "content_text", "page_start", "page_end"))):
-                rows += [(sid, path, *r) for r in section_noise(text, first, last, fixes) if not only_char or r[1] in ("char", "char?")]
+                rows += [(sid, path, *r) for r in section_noise(text, first, last, fixes)]
             yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * len(types), types)], names=names)
 
     return run
@@ -257,32 +351,28 @@ def candidates(content: DataFrame, words: DataFrame) -> DataFrame:
     """Candidates of every section (:data:`CANDIDATES`), misreadings already looked up."""
     spark = content.sparkSession
     fixes = materialize(misreadings(words), "p6-fixes")
-    slices = max(1, -(-fixes.count() // MAX_FIXES))
     texts = content.where("content_text is not null and section_id is not null").select("section_id", "collection_path", "content_text", "page_start", "page_end")
-    out = near = None
-    for k in range(slices):
-        rows = fixes.where(F.pmod(F.xxhash64("seen"), F.lit(slices)) == k).toArrow().to_pylist()
-        table = {r["seen"]: r["fixes"] for r in rows}
-        open_ = {f for t in table.values() if len(t) > 1 for f in t}
-        if open_:
-            counts = texts.select("content_text").mapInArrow(_contexts(spark.sparkContext.broadcast(open_)), "before string, word string, n bigint").groupBy("before", "word").agg(F.sum("n").alias("n"))
-            near = counts if near is None else near.unionByName(counts)
-        part = texts.mapInArrow(_candidates(spark.sparkContext.broadcast((table, k > 0))), CANDIDATES)
-        out = part if out is None else out.unionByName(part)
-    found = materialize(out, "p6-candidates")
-    return found if near is None else found.where("what <> 'char?'").unionByName(chosen(found, near.distinct()))
-
-
-def chosen(found: DataFrame, near: DataFrame) -> DataFrame:
-    """``char?`` as ``char``: the repair that most often follows the word before, of equal ones the most frequent form."""
-    keys = ["section_id", "path", "line_no", "x", "y", "z"]
-    each = found.where("what = 'char?'").select(*keys).distinct().select(*keys, F.posexplode(F.split("y", "\n")).alias("pos", "word"))
-    counted = each.join(near.withColumnRenamed("before", "z"), ["z", "word"], "left")
-    best = counted.groupBy(*keys).agg(F.max(F.struct(F.coalesce("n", F.lit(0)).alias("n"), (-F.col("pos")).alias("pos"), "word"))["word"].alias("fix"))
+    found = materialize(texts.mapInArrow(_candidates(spark.sparkContext.broadcast(sieve(fixes, "seen"))), CANDIDATES), "p6-candidates")
+    open_ = materialize(fixes.where("size(fixes) > 1").select(F.explode("fixes").alias("word")).distinct(), "p6-open")
+    near = spark.createDataFrame([], "before string, word string, n bigint")
+    if not open_.isEmpty():
+        near = texts.select("content_text").mapInArrow(_contexts(spark.sparkContext.broadcast(sieve(open_, "word"))), "before string, word string, n bigint").join(open_, "word", "left_semi").groupBy("before", "word").agg(F.sum("n").alias("n"))
+    asked = found.where("what = 'char?'").join(fixes.withColumnRenamed("seen", "y"), "y").drop("y")
+    return found.where("what <> 'char?'").unionByName(chosen(asked, near))
+
+
+def chosen(asked: DataFrame, near: DataFrame) -> DataFrame:
+    """Words with their ``fixes`` as ``char``: the repair that most often follows the word before (``z``), of equal ones the most frequent form."""
+    keys = ["section_id", "path", "line_no", "x", "z"]
     first = F.substring("x", 1, 1)
     cased = F.when((F.upper("x") == F.col("x")) & (F.lower("x") != F.col("x")), F.upper("fix")).when(F.lower(first) != first, F.initcap("fix")).otherwise(F.col("fix"))
     no, none = F.lit(False), F.lit(None).cast("string")
-    return best.select("section_id", "path", "line_no", F.lit("char").alias("what"), "x", cased.alias("y"), none.alias("z"), no.alias("near"), no.alias("broken"))
+    shown = lambda d: d.select("section_id", "path", "line_no", F.lit("char").alias("what"), "x", cased.alias("y"), none.alias("z"), no.alias("near"), no.alias("broken"))
+    one = asked.where("size(fixes) = 1").select(*keys, F.col("fixes")[0].alias("fix"))
+    each = asked.where("size(fixes) > 1").select(*keys, "fixes").distinct().select(*keys, F.posexplode("fixes").alias("pos", "word"))
+    counted = each.join(near.withColumnRenamed("before", "z"), ["z", "word"], "left")
+    best = counted.groupBy(*keys).agg(F.max(F.struct(F.coalesce("n", F.lit(0)).alias("n"), (-F.col("pos")).alias("pos"), "word"))["word"].alias("fix"))
+    return shown(one).unionByName(shown(best))
 
 
 def hyphens(found: DataFrame, words: DataFrame) -> DataFrame:
@@ -304,7 +394,7 @@ def headers(found: DataFrame, document: DataFrame) -> DataFrame:
     said = by_doc.join(titles, "path", "left")
     named = (F.length("key") >= SHORT_TITLE) & (F.exists("wholes", lambda t: F.contains(t, F.col("key"))) | F.exists("tails", lambda t: F.contains(F.col("key"), t)))
     # the evidence lies within the document, so a header that many documents share counts in each
-    again = (F.length("key") >= SHORT_TITLE) & (F.col("times") >= 2) & (F.col("n_near") * 4 >= F.col("times"))
+    again = (F.length("key") > 0) & (F.col("times") >= 2) & F.when(F.length("key") >= SHORT_TITLE, F.col("n_near") * 4 >= F.col("times")).otherwise(F.col("n_near") == F.col("times"))
     good = said.where(F.coalesce(named, F.lit(False)) | again).select("path", "key")
     return lines.join(good, ["path", "key"], "left_semi").select("section_id", "line_no").distinct()
 

@@ -61,6 +61,52 @@ def test_context_seen_once_chooses(spark):
     assert sorted((r.section_id, r.word, r.fix) for r in got) == [(71, "rnodem", "modem"), (72, "RNODEM", "MODEM"), (73, "Rnodem", "Modern")]
 
 
+def test_no_bounds_on_lines_and_words():
+    noise = lambda text, first=None, last=None, fixes={}: m.section_noise(text, first, last, fixes, {})  # noqa: E731, B006
+    # a broken word goes on after many lines that belong to the page
+    titles = [f"Gilowcombe Manual of Claims {i}" for i in range(9)]
+    for marks in ("", "12"):
+        out = noise("\n".join(["The annual enroll-", *titles, marks, "ment of the provider."]), 11, 13)
+        assert [(r[0], r[2]) for r in out if r[1] == "hyphen?"] == [(1, "enrollment")]
+    # beside a page number a header may be long or short
+    for line in ("Notes", "Manual of the " + "very " * 40 + "Long Claims"):
+        out = noise("\n".join(["The provider is paid.", line, "12", "The council is paid."]), 11, 13)
+        assert (2, True) in [(r[0], r[5]) for r in out if r[1] == "title?"]
+    # without an end pages run on from one to the next
+    text = "\n".join(x for n in range(30, 70) for x in ("The provider is paid.", str(n)))
+    assert [int(r[2]) for r in noise(text, 30) if r[1] == "pageno"] == list(range(30, 70))
+    assert not [r for r in noise("The provider is paid in\n1950\ndollars.", 30) if r[1] == "pageno"]
+    assert len([r for r in noise("  " + " " * 40 + "31" + " " * 40, 30, 32) if r[1] == "pageno"]) == 1
+    long = "electro" * 9
+    assert m.explains(long, long.replace("e", "c", 5).replace("o", "0", 3)) and not m.explains("file", "the") and not m.explains("care", "0a1c")
+    out = noise("Proof 0f the claim 0f the", None, None, {"0f": ["of"], "1s": ["is"]})
+    assert [r[2] for r in out if r[1] == "char"] == ["0f", "0f"] and not [r for r in noise("AbC/1s+0f", None, None, {"0f": ["of"], "1s": ["is"]}) if r[1] == "char"]
+
+
+def test_long_and_short_words_are_misread(spark):
+    long = "electro" * 9
+    said = [f"the {long} of the claim and more"] * 30 + [f"the {long.replace('e', 'c', 5)} 0f the claim"]
+    content = spark.createDataFrame([(i, "c.s.d", t, None, None, "k") for i, t in enumerate(said)], CONTENT)
+    got = m.noise(content, spark.createDataFrame([], DOCS)).where("kind = 'char'").collect()
+    assert sorted((r.section_id, r.word, r.fix) for r in got) == sorted([(30, "0f", "of"), (30, long.replace("e", "c", 5), long)])
+
+
+def test_a_full_sieve_changes_nothing(spark, monkeypatch):
+    want = sorted(map(tuple, m.noise(*frames(spark)).collect()), key=str)
+    monkeypatch.setattr(m, "SIEVE_BITS", 64)
+    words = spark.createDataFrame([(w,) for w in BODY.lower().split()], "word string")
+    assert all(w in m.sieve(words, "word") for w in BODY.lower().split())
+    assert sorted(map(tuple, m.noise(*frames(spark)).collect()), key=str) == want
+
+
+def test_one_skeleton_with_many_forms(spark, rows):
+    r = __import__("random").Random(1)
+    forms = {"".join(r.choice("l1ih6b") for _ in range(9)) for _ in range(400)}
+    words = spark.createDataFrame([(w, 1) for w in forms] + [("hillhill", 900), ("bill", 50), ("b1ll", 2)], "word string, n bigint")
+    want = {(w, t) for w in [*forms, "b1ll"] for t, n in (("hillhill", 900), ("bill", 50)) if m.explains(t, w) and m.skeleton(t) == m.skeleton(w)}
+    assert want and {(r.seen, f) for r in m.misreadings(words).collect() for f in r.fixes} == want
+
+
 def test_empty(spark):
     c, d = frames(spark)
     assert m.found(c.where("false"), d.where("false")).count() == m.repaired(c.where("false"), d).count() == 0
