@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliant.llm.common import WORD
+from foliant.llm.common import WORD, words_of
 from foliant.runtime import materialize
 
 #: Characters and how scanners misread them.
@@ -48,7 +48,7 @@ STROKES = str.maketrans(
 MARKS = "-‐­¬"
 OPEN_PAGES = 4
 #: Bits of the sieve at most, and for each form.
-SIEVE_BITS, SIEVE_EACH = 1 << 26, 16
+SIEVE_BITS, SIEVE_EACH = 1 << 26, 32
 #: Characters below which a misread word must mix letters with digits or ligatures.
 SHORT = 4
 #: A misreading is at least so many times rarer than the form it stands for.
@@ -59,6 +59,8 @@ SHORT_TITLE = 14
 _TOKEN = re.compile(r"[^\W_]+(?:-[^\W_]+)*-?")
 _BROKEN = re.compile(rf"([^\W_]+)((?:-[^\W_]+)*)([{MARKS}])[^\S\n]*$")
 _BREAK = re.compile(rf"[^\W_]+[{MARKS}][^\S\n]*\n\s*[^\W_]*")
+_ENDS = re.compile(rf"[{MARKS}][^\S\n]*\n")
+_PLAIN = {i: " " for i in range(128) if not chr(i).isalnum() and chr(i) != "-"}
 _PAGE = re.compile(r"(?:[Pp]\.|[Pp]age|PAGE|[\[~(–-])?\s*([0-9lIOo]{1,5})\s*(?:[Oo][Ff]\s+[0-9lIOo]+|[\]~)–-])?")
 _LETTER_DIGITS = str.maketrans("lIOo", "1100")
 _NOT_LETTER = re.compile(r"[\W\d_]+")
@@ -113,7 +115,11 @@ def _count_words(batches):
     counts: Counter = Counter()
     for b in batches:
         for text in b.column("content_text").to_pylist():
-            counts.update(_TOKEN.findall(_BREAK.sub("\n", text.lower())))
+            text = text.lower()
+            if _ENDS.search(text):
+                text = _BREAK.sub("\n", text)
+            # plain ASCII is split at once, and words with hyphens are taken apart when they are counted
+            counts.update(text.translate(_PLAIN).split() if text.isascii() else _TOKEN.findall(text))
         if len(counts) > 300_000:
             yield out(_parts(counts))
             counts = Counter()
@@ -123,11 +129,15 @@ def _count_words(batches):
 def _parts(counts: Counter) -> Counter:
     """Hyphenated words count as such and with each part."""
     out: Counter = Counter()
-    for w, n in counts.items():
-        out[w] += n
-        if "-" in w:
-            for part in w.strip("-").split("-"):
-                out[part] += n
+    for run, n in counts.items():
+        if "-" not in run:
+            out[run] += n
+            continue
+        for w in _TOKEN.findall(run):
+            out[w] += n
+            if "-" in w:
+                for part in w.strip("-").split("-"):
+                    out[part] += n
     return out
 
 
@@ -165,33 +175,35 @@ def misreadings(words: DataFrame) -> DataFrame:
 
 
 class Sieve:
-    """A Bloom filter of words; ``in`` may be true for words that are not of it, and remembers its answers within a bound."""
+    """A Bloom filter of words; words that are not of it may pass. It remembers its answers within a bound."""
 
     REMEMBERED = 400_000
 
     def __init__(self, bits: np.ndarray):
-        self.bits, self.known = bits, {}
-
-    def __contains__(self, w: str) -> bool:
-        got = self.known.get(w)
-        if got is None:
-            if len(self.known) >= self.REMEMBERED:
-                self.known.clear()
-            last = len(self.bits) * 64 - 1
-            got = self.known[w] = all(int(self.bits[p >> 6]) >> (p & 63) & 1 for p in places(w, last))
-        return got
+        self.bits, self.asked, self.passed = bits, set(), set()
+
+    def of(self, words: set[str]) -> set[str]:
+        """Those that pass."""
+        if len(self.asked) >= self.REMEMBERED:
+            self.asked, self.passed = set(), set()
+        last = len(self.bits) * 64 - 1
+        for w in words - self.asked:
+            if all(int(self.bits[p >> 6]) >> (p & 63) & 1 for p in places(w, last)):
+                self.passed.add(w)
+        self.asked |= words
+        return words & self.passed
 
     def __reduce__(self):
         return Sieve, (self.bits,)
 
 
-def places(w: str, last: int) -> tuple[int, int, int]:
-    """The three bits of a word, by double hashing."""
+def places(w: str, last: int) -> tuple[int, int, int, int]:
+    """The four bits of a word, by double hashing."""
     import xxhash
 
     h = xxhash.xxh64_intdigest(w)
     a, b = h & 0xFFFFFFFF, h >> 32 | 1
-    return a & last, (a + b) & last, (a + 2 * b) & last
+    return a & last, (a + b) & last, (a + 2 * b) & last, (a + 3 * b) & last
 
 
 def sieve(words: DataFrame, column: str) -> Sieve:
@@ -221,8 +233,10 @@ def _contexts(shared):
 
         for b in batches:
             for text in b.column("content_text").to_pylist():
-                ws = WORD.findall(text.lower())
-                counts.update((p, w) for p, w in zip(ws, ws[1:]) if w in wanted)
+                ws = words_of(text)
+                known = wanted.of(set(ws))
+                if known:
+                    counts.update((p, w) for p, w in zip(ws, ws[1:]) if w in known)
             if len(counts) > 200_000:
                 yield out()
                 counts = Counter()
@@ -290,7 +304,7 @@ def section_noise(text: str, first: int | None, last: int | None, fixes: dict[st
     # the next line that goes on with a word broken above it, or shows that none does: for words in capitals a line in capitals may
     low = cap = -1
     nexts = {}
-    for k in range(len(solid) - 1, -1, -1):
+    for k in range(len(solid) - 1, -1, -1) if any(lines[i][-1] in MARKS for i in solid) else ():
         i = solid[k]
         if lines[i][-1] in MARKS:
             nexts[k] = (low, cap)
@@ -317,12 +331,13 @@ def section_noise(text: str, first: int | None, last: int | None, fixes: dict[st
             parts.setdefault(i, [False, False])[1] = True
             parts.setdefault(j, [False, False])[0] = True
     sieved = isinstance(fixes, Sieve)
-    for i in solid if sieved or fixes else ():
+    asked = fixes.of(set(words_of(text))) if sieved else fixes
+    for i in solid if asked else ():
         ws = WORD.findall(lines[i])
         own = parts.get(i, (False, False))
         for k, w in enumerate(ws):
             low_ = w.lower()
-            if low_ in fixes and not (own[0] and k == 0) and not (own[1] and k == len(ws) - 1) and (len(w) >= SHORT or _stands_alone(w, lines[i])):
+            if low_ in asked and not (own[0] and k == 0) and not (own[1] and k == len(ws) - 1) and (len(w) >= SHORT or _stands_alone(w, lines[i])):
                 before = ws[k - 1].lower() if k else ""
                 if sieved:
                     out.append((i + 1, "char?", w, low_, before, False, False))
