@@ -3,7 +3,8 @@
 Each text becomes the sorted array of its word spans (prefix sums of words over characters) and the sorted array of
 boundaries: the word counts after which a line or a sentence ends. A piece that starts at word ``s`` ends at the last
 boundary in ``(s + overlap, s + limit]``, found by binary search; where there is none, it is cut hard at ``s + limit``. The
-next piece steps back by the overlap. One map over Arrow batches: no shuffle but for rows sent twice.
+next piece steps back by the overlap. The kind of cut of an item is that of its splitting without overlap: a piece that starts at a
+boundary is cut hard only if no boundary lies within the limit. One map over Arrow batches: no shuffle but for rows sent twice.
 
 Defined cases: null, empty and blank texts and texts within the limit are not oversized and come out whole as one piece
 (null and blank ones as none); rows sent twice count once; rows with a null id are left out; a text of one endless
@@ -33,16 +34,6 @@ def boundaries(text: str) -> tuple[list[tuple[int, int]], list[int]]:
     return spans, [*ends, n]
 
 
-def forced(ends: list[int], limit: int = LIMIT) -> bool:
-    """Whether more than ``limit`` words lie between two neighbouring boundaries."""
-    last = 0
-    for e in ends:
-        if e - last > limit:
-            return True
-        last = e
-    return False
-
-
 def cuts(n: int, ends: list[int], limit: int = LIMIT, overlap: int = OVERLAP) -> list[tuple[int, int, str]]:
     """``(start, end, how)`` of the pieces in words; how is ``natural``, ``hard`` or ``end``."""
     if not 0 <= overlap < limit:
@@ -57,6 +48,11 @@ def cuts(n: int, ends: list[int], limit: int = LIMIT, overlap: int = OVERLAP) ->
         start = end - overlap
 
 
+def kind_of(n: int, ends: list[int], limit: int = LIMIT) -> str:
+    """``forced`` if the pieces can't all end naturally even without overlap: some stretch over the limit has no boundary."""
+    return "forced" if any(how == "hard" for _, _, how in cuts(n, ends, limit, 0)) else "natural"
+
+
 def _pieces(limit: int, overlap: int, only_kind: bool):
     def run(batches):
         for b in batches:
@@ -66,9 +62,12 @@ def _pieces(limit: int, overlap: int, only_kind: bool):
                 n = len(spans)
                 if not n or only_kind and n <= limit:
                     continue
-                kind = None if n <= limit else "forced" if forced(ends, limit) else "natural"
+                kind = None if n <= limit else kind_of(n, ends, limit)
+                if only_kind:
+                    rows.append((name, i, 1, None, n, 0, "end", kind))
+                    continue
                 for k, (s, e, how) in enumerate(cuts(n, ends, limit, overlap), 1):
-                    rows.append((name, i, k, None if only_kind else text if n <= limit else text[spans[s][0] : spans[e - 1][1]], e - s, s, how, kind))
+                    rows.append((name, i, k, text if n <= limit else text[spans[s][0] : spans[e - 1][1]], e - s, s, how, kind))
             names = [f.split()[0] for f in PIECES.split(", ")]
             types = [pa.string(), pa.int64(), pa.int32(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string()]
             for at in range(0, len(rows), 4000) or [0]:

@@ -26,7 +26,7 @@ def test_pieces_cover_the_text_with_the_overlap(text, limit, overlap):
         assert s2 == e - overlap and e2 > e
         reach = [x for x in ends if s + overlap < x <= s + limit]
         assert (how == "natural" and e == reach[-1]) if reach else (how == "hard" and e == s + limit)
-    assert m.forced(ends, limit) == forced(text, limit)
+    assert (m.kind_of(n, ends, limit) == "forced") == forced(text, limit)
 
 
 def test_oversized_and_pieces(spark, rows):
