@@ -2,7 +2,8 @@
 
 The tokenizers library works on Arrow batches. Byte-level BPE never merges across the pieces of its pre-split, so a plain
 ASCII text is split by the same pattern and each distinct piece is encoded once by the library and remembered
-(a bounded memory); every other text goes through the library whole. Offsets are in characters: byte offsets mapped
+(a bounded memory); every other text goes through the library whole, and so does every text where the vocabulary file names another
+pre-split or a normaliser. Offsets are in characters: byte offsets mapped
 to the character that holds the byte. Decoding reverses the byte table and joins bytes before reading UTF-8, so that a
 character split over several ids comes back.
 
@@ -13,6 +14,7 @@ shuffle.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 
@@ -21,7 +23,7 @@ from pyspark.sql import DataFrame
 
 #: Bound of the remembered pieces of one worker, and the longest piece that is remembered.
 REMEMBERED, LONGEST = 300_000, 48
-#: The pre-split of the vocabulary, for text of ASCII characters only.
+#: The pre-split of byte-level vocabularies, for text of ASCII characters only.
 ASCII_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+", re.ASCII)
 _loaded: dict[str, "Encoder"] = {}
 
@@ -38,6 +40,22 @@ def byte_table() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
+def splits_so(path: str) -> bool:
+    """Whether the vocabulary file splits plain ASCII texts by :data:`ASCII_SPLIT` and changes nothing else before or between the pieces."""
+    with open(path, encoding="utf-8") as f:
+        d = json.load(f)
+    pre, model = d.get("pre_tokenizer") or {}, d.get("model") or {}
+    return (
+        d.get("normalizer") is None
+        and pre.get("type") == "ByteLevel"
+        and pre.get("use_regex", True)
+        and not pre.get("add_prefix_space", True)
+        and model.get("type", "BPE") == "BPE"
+        and not model.get("dropout")
+        and all(t.get("special") for t in d.get("added_tokens") or [])
+    )
+
+
 class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -45,6 +63,7 @@ class Encoder:
 
         self.lib = Tokenizer.from_file(path)
         self.lib.encode_special_tokens = True
+        self.split = ASCII_SPLIT if splits_so(path) else None
         self.seen: dict[str, list[int]] = {}
         self.bytes: list[bytes] | None = None
 
@@ -59,11 +78,11 @@ class Encoder:
     def encode(self, text: str | None) -> list[int]:
         if not text:
             return []
-        if not text.isascii():
+        if self.split is None or not text.isascii():
             return self.lib.encode(text, add_special_tokens=False).ids
         out: list[int] = []
         get, add = self.seen.get, out.extend
-        for piece in ASCII_SPLIT.findall(text):
+        for piece in self.split.findall(text):
             add(get(piece) or self._piece(piece))
         return out
 

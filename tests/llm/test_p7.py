@@ -36,6 +36,17 @@ def test_any_text(text):
     assert starts == sorted(starts) and (not ids or starts[0] == 0)
 
 
+def test_a_vocabulary_with_another_split_goes_through_the_library_whole(spark):
+    path = m.default_path("word_bpe_49k.json")
+    if not os.path.exists(path):
+        pytest.skip("no such vocabulary here")
+    texts = ["DON'T do  that, MR. O'NEIL's 12345 claims", "Plain words only.", "don't", "naïve CAFÉ", "", None]
+    lib = m.Encoder(path).lib
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert {r.doc_id: r.ids for r in m.encode(df, path).collect()} == {i: lib.encode(t, add_special_tokens=False).ids if t else [] for i, t in enumerate(texts)}
+    assert m.splits_so(m.default_path()) and not m.splits_so(path)
+
+
 def test_byte_table_is_a_bijection():
     t = m.byte_table()
     assert len(t) == 256 and set(t.values()) == set(range(256))
