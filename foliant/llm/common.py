@@ -17,10 +17,17 @@ _ASCII = {i: " " for i in range(128) if not chr(i).isalnum()}
 
 
 def words_of(text: str | None) -> list[str]:
-    """The words of a text, lower-cased; plain ASCII texts need no regular expression."""
+    """The words of a text, each lower-cased; plain ASCII texts need no regular expression.
+
+    Lower-casing the whole text gives the same words but for the letters whose lower case holds a mark or depends on its neighbours.
+    """
     if not text:
         return []
-    return text.lower().translate(_ASCII).split() if text.isascii() else WORD.findall(text.lower())
+    if text.isascii():
+        return text.lower().translate(_ASCII).split()
+    if "\u0130" in text or "\u03a3" in text:
+        return [w.lower() for w in WORD.findall(text)]
+    return WORD.findall(text.lower())
 
 
 def source_of(path: str | Column) -> Column:

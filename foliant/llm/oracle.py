@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from foliant.functions.text import WS
+from foliant.llm.p1_lines import MONTHS, NAMES
 
 _LINES = f"""
 one as (select distinct section_id, collection_path, content_text from document_content where content_text is not null and collection_path is not null and section_id is not null),
@@ -14,6 +15,20 @@ sizes as (select split_part(collection_path, '.', 2) as source, count(distinct c
 often as (select c.source, c.k from counted c join sizes s on c.source = s.source group by c.source, c.k, s.n having count(distinct collection_path) >= 6 and count(distinct collection_path) * 100 >= 5 * s.n)
 """
 
+_NEAR = f"""{_LINES},
+masked as (select c.*, regexp_replace(regexp_replace(
+  regexp_replace(trim(regexp_replace(lower(regexp_replace(trim(regexp_replace(line, '[{WS}]+', ' ', 'g')), '{NAMES}', '\\1#', 'g')), '[{WS}]+', ' ', 'g')), '\\p{{Nd}}+', '0', 'g'),
+  '\\b(?:{MONTHS}) 0,? 0\\b|\\b0[-/]0[-/]0\\b', '0', 'g'), '[0.,$]+', '0', 'g') as form from counted c),
+clustered as (select *, list_distinct(string_split(form, ' ')) as ws, list_sort(list_distinct(list_transform(string_split(form, ' '), lambda x: md5(x))))[1:4] as near from masked where length(regexp_replace(form, '[^\\p{{L}}]+', '', 'g')) >= 20),
+dense as (select c.source, near from clustered c join sizes s on c.source = s.source group by c.source, near, s.n having count(distinct collection_path) >= 6 and count(distinct collection_path) * 100 >= 5 * s.n),
+forms as (select c.source, c.near, form, any_value(ws) as ws, count(distinct collection_path) as docs from clustered c join dense d on c.source = d.source and c.near = d.near group by all),
+heads as (select source, near, form as standing, ws as hs from forms qualify row_number() over (partition by source, near order by docs desc, form) = 1),
+alike as (select f.source, f.near, form, standing from forms f join heads h on f.source = h.source and f.near = h.near where len(list_intersect(ws, hs)) * 100 >= 80 * (len(ws) + len(hs) - len(list_intersect(ws, hs)))),
+member as (select c.section_id, c.line_no, c.collection_path, c.source, c.near, c.form, a.standing from clustered c join alike a on c.source = a.source and c.near = a.near and c.form = a.form),
+near_often as (select m.source, near from member m join sizes s on m.source = s.source group by m.source, near, s.n having count(distinct collection_path) >= 6 and count(distinct collection_path) * 100 >= 5 * s.n),
+near_gone as (select m.* from member m join near_often o on m.source = o.source and m.near = o.near)
+"""
+
 _OVER = f"""
 items as (
   select distinct 'document_content' as table_name, section_id as item_id, content_text as t from document_content where content_text is not null and section_id is not null
@@ -24,8 +39,11 @@ parts as (select table_name, item_id, len(list_filter(regexp_split_to_array(unne
 """
 
 
+_SPLIT = "list_filter(regexp_split_to_array({0}, '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '')"
+
+
 def _words(table: str, key: str, text: str) -> str:
-    return f"select {key} as id, list_filter(regexp_split_to_array(lower({text}), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') as w from (select distinct {key}, {text} from {table} where {text} is not null and {key} is not null)"
+    return f"select {key} as id, list_transform({_SPLIT.format(text)}, lambda x: lower(x)) as w from (select distinct {key}, {text} from {table} where {text} is not null and {key} is not null)"
 
 
 def _near(table: str, key: str, text: str) -> str:
@@ -37,23 +55,52 @@ select '{table}' as table_name, a.id as id_a, b.id as id_b from
 group by a.id, b.id having count(*) * 2 >= max(a.n) + max(b.n) - count(*)"""
 
 
+def _grams(n: int) -> str:
+    return "concat_ws(' ', " + ", ".join(f"w[i + {k}]" for k in range(n)) + ")"
+
+
+def _spans() -> str:
+    """Spans of leaked items as in the operator: overlapping and touching windows are one."""
+    own = lambda table, key: f"select id, unnest(gs) as g, generate_subscripts(gs, 1) as p from (select id, list_transform(range(1, len(w) - 10), lambda i: {_grams(12)}) as gs from ({_words(table, key, 'text')}) where len(w) >= 12)"
+    return f"""
+dg as ({own('documents', 'doc_id')}), eg as ({own('eval_items', 'item_id')}),
+hits as (select distinct dg.id as doc_id, eg.id as item_id, dg.p from dg join eg on dg.g = eg.g),
+cut as (select *, case when p - lag(p) over (partition by doc_id, item_id order by p) <= 12 then 0 else 1 end as fresh from hits),
+runs as (select doc_id, item_id, min(p) as a, max(p) + 11 as z from (select *, sum(fresh) over (partition by doc_id, item_id order by p) as k from cut) group by doc_id, item_id, k),
+texts as (select distinct doc_id, text, {_SPLIT.format('text')} as ws, regexp_split_to_array(text, '[\\p{{L}}\\p{{N}}]+') as gaps from documents where doc_id in (select doc_id from hits)),
+sizes as (select doc_id, k, len(gaps[k]) as gap, len(ws[k]) as size from (select *, unnest(range(1, len(ws) + 1)) as k from texts)),
+places as (select doc_id, k, size, sum(gap + size) over (partition by doc_id order by k) as stop from sizes),
+spans as (
+  select r.doc_id, r.item_id, cast(r.a - 1 as integer) as first_word, cast(r.z - 1 as integer) as last_word, cast(s.stop - s.size as integer) as start_char, cast(e.stop as integer) as end_char
+  from runs r join places s on s.doc_id = r.doc_id and s.k = r.a join places e on e.doc_id = r.doc_id and e.k = r.z)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    gram = lambda n: "concat_ws(' ', " + ", ".join(f"w[i + {k}]" for k in range(n)) + ")"
     return {
         "p1_found": f"with {_LINES} select distinct c.section_id, cast(c.line_no as integer) as line_no from counted c join often o on c.source = o.source and c.k = o.k",
-        "p1_clean": f"""with {_LINES},
-gone as (select distinct c.section_id, c.line_no from counted c join often o on c.source = o.source and c.k = o.k),
+        "p1_clean": f"""with {_NEAR},
+gone as (select distinct c.section_id, c.line_no from counted c join often o on c.source = o.source and c.k = o.k union select section_id, line_no from near_gone),
 kept as (select l.section_id, string_agg(l.line, chr(10) order by l.line_no) filter (where g.line_no is null) as t, count(g.line_no) as n from lines l left join gone g on g.section_id = l.section_id and g.line_no = l.line_no group by l.section_id)
 select d.section_id, case when k.n > 0 then coalesce(k.t, '') else d.content_text end as content_text, cast(coalesce(k.n, 0) as integer) as n_removed
 from (select distinct section_id, content_text from document_content where section_id is not null) d left join kept k on k.section_id = d.section_id""",
+        "p1_clusters": f"with {_NEAR} select source, standing as form, count(distinct collection_path) as docs, count(distinct (section_id, line_no)) as lines, count(distinct form) as forms from near_gone group by source, near, standing",
         "p3_found": f"with {_OVER} select table_name, item_id, case when max(m) > 400 then 'forced' else 'natural' end as cut from parts group by table_name, item_id",
         "p4_found": _near("document_content", "section_id", "content_text") + " union all " + _near("embedding_table", "chunk_id", "chunk_text"),
         "p8_found": f"""with d as ({_words('documents', 'doc_id', 'text')}), e as ({_words('eval_items', 'item_id', 'text')}),
-dg as (select id, unnest(list_transform(range(1, len(w) - 10), lambda i: {gram(12)})) as g from d where len(w) >= 12),
-eg as (select id, unnest(list_transform(range(1, len(w) - 10), lambda i: {gram(12)})) as g from e where len(w) >= 12)
+dg as (select id, unnest(list_transform(range(1, len(w) - 10), lambda i: {_grams(12)})) as g from d where len(w) >= 12),
+eg as (select id, unnest(list_transform(range(1, len(w) - 10), lambda i: {_grams(12)})) as g from e where len(w) >= 12)
 select distinct dg.id as doc_id, eg.id as item_id from dg join eg on dg.g = eg.g""",
+        "p8_spans": f"with {_spans()} select * from spans",
+        "p8_clean": f"""with {_spans()},
+steps as (select *, max(end_char) over (partition by doc_id order by start_char, end_char rows between unbounded preceding and 1 preceding) as reach from (select distinct doc_id, start_char, end_char from spans)),
+merged as (select doc_id, min(start_char) as a, max(end_char) as z from (select *, sum(case when start_char <= reach then 0 else 1 end) over (partition by doc_id order by start_char, end_char) as k from steps) group by doc_id, k),
+parts as (select *, coalesce(lag(z) over (partition by doc_id order by a), 0) as before from merged),
+kept as (select p.doc_id, string_agg(substr(t.text, cast(p.before + 1 as bigint), cast(p.a - p.before as bigint)), '' order by p.a) || substr(any_value(t.text), cast(max(p.z) + 1 as bigint)) as text, sum(p.z - p.a) as n from parts p join texts t on t.doc_id = p.doc_id group by p.doc_id)
+select d.doc_id, case when k.n > 0 then k.text else d.text end as text, cast(coalesce(k.n, 0) as integer) as n_removed
+from documents d left join kept k on k.doc_id = d.doc_id where k.n is null or k.n < 0.5 * length(d.text)""",
         "p9_found": f"""with d as ({_words('documents', 'doc_id', 'text')}),
-g as (select id, n, unnest(gs) as g, generate_subscripts(gs, 1) as i from (select id, len(w) as n, list_transform(range(1, len(w) - 3), lambda i: {gram(5)}) as gs from d where len(w) >= 20)),
+g as (select id, n, unnest(gs) as g, generate_subscripts(gs, 1) as i from (select id, len(w) as n, list_transform(range(1, len(w) - 3), lambda i: {_grams(5)}) as gs from d where len(w) >= 20)),
 again as (select id, n, i from (select id, n, i, min(i) over (partition by id, g) as first from g) where i > first),
 covered as (select distinct id, n, i + k as p from again, range(0, 5) r(k))
 select id as doc_id from covered group by id, n having count(*) * 100 >= 30 * n""",

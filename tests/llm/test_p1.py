@@ -42,7 +42,7 @@ def test_clean_takes_out_those_lines_only(spark):
     bad = defaultdict(set)
     for sid, no in brute(data):
         bad[sid].add(no)
-    got = {r.section_id: r for r in p1_lines.clean(spark.createDataFrame(data, SCHEMA)).collect()}
+    got = {r.section_id: r for r in p1_lines.clean(spark.createDataFrame(data, SCHEMA), near=False).collect()}
     assert len(got) == len({r[3] for r in data})
     for _, _, text, sid, *_ in data:
         want = text if not bad[sid] else "\n".join(x for k, x in enumerate(text.split("\n"), 1) if k not in bad[sid])
@@ -55,6 +55,19 @@ def test_clusters_hold_lines_that_differ_in_numbers_and_dates(spark):
     assert len(r) == 1 and r[0].docs == 8 and r[0].lines == 8
 
 
+def test_near_duplicate_clusters_are_taken_out_whoever_is_named(spark):
+    names = ["Anna Velde", "Omar Reyes", "Lucia Prentice", "Tom Aldous", "Ines Halloran", "Peter Quill", "Mara Ossian"]
+    shown = [f"This page was written by {n} for the office of public records" for n in names] + ["Other words that are found in this one document only"]
+    data = [(f"corpus.a.d{i}", 1, t + "\nA line that belongs to " + "abcdefgh"[i] * 9, i, "", "", "") for i, t in enumerate(shown)]
+    df = spark.createDataFrame(data, SCHEMA)
+    assert p1_lines.repeated_lines(df).count() == 0
+    got = {r.section_id: r.n_removed for r in p1_lines.clean(df).collect()}
+    assert got == {**{i: 1 for i in range(7)}, 7: 0}
+    assert {r.n_removed for r in p1_lines.clean(df, near=False).collect()} == {0}
+    r = p1_lines.clusters_report(df).collect()
+    assert [tuple(x) for x in r] == [("a", "this page was written by # for the office of public records", 7, 7, 1)]
+
+
 def test_empty_table(spark):
     empty = spark.createDataFrame([], SCHEMA)
     assert p1_lines.repeated_lines(empty).count() == p1_lines.clean(empty).count() == p1_lines.clusters_report(empty).count() == 0

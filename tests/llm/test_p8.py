@@ -39,7 +39,7 @@ def test_leaks_equal_brute_force(spark, rows):
 
 def test_items_in_blocks_give_the_same(spark, rows, monkeypatch):
     whole = rows(m.leaks(spark, *frames(spark)))
-    assert len(m.blocks(frames(spark)[1], limit=25)) == 3
+    assert len(list(m.blocks(frames(spark)[1], limit=25))) == 3
     monkeypatch.setattr(m.blocks, "__defaults__", (12, 25))
     assert rows(m.leaks(spark, *frames(spark))) == whole
 
@@ -52,6 +52,26 @@ def test_spans_are_cut_out(spark):
     assert got[8].text == "z " * 30_000
 
 
+def test_spans_are_places_in_the_text_as_it_is(spark):
+    words = [f"word{i}" for i in range(14)]
+    texts = ["İstanbul İzmir İnegöl " + " ".join(words) + " tail end here", "ΑΣ.Α İ " + " ".join(words), "İ" * 30 + " " + " ".join(words).upper()]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    items = spark.createDataFrame([(1, " ".join(words), "s")], "item_id bigint, text string, subject string")
+    got = {r.doc_id: r for r in m.leak_spans(spark, docs, items).collect()}
+    for i, t in enumerate(texts):
+        assert t[got[i].start_char : got[i].end_char].lower() == " ".join(words)
+    assert (got[0].first_word, got[0].last_word) == (3, 16)
+    clean = {r.doc_id: r.text for r in m.clean(spark, docs, items, drop_share=2.0).collect()}
+    assert clean == {0: "İstanbul İzmir İnegöl  tail end here", 1: "ΑΣ.Α İ ", 2: "İ" * 30 + " "}
+
+
+def test_the_broadcast_is_compact():
+    items = [(i, f"a{i} b c d e f g h i j k l m n {i}".split()) for i in range(2000)]
+    import pickle
+
+    assert len(pickle.dumps(m.Grams(items, 12))) < 24 * 15 * 2000
+
+
 def test_empty(spark):
     docs, items = frames(spark)
     assert m.leaks(spark, docs.where("false"), items).count() == m.leaks(spark, docs, items.where("false")).count() == 0
