@@ -76,6 +76,46 @@ spans as (
 """
 
 
+def _groups(table: str, key: str, text: str) -> str:
+    """Groups of one table: links between the smallest ids of records with the same words, closed over."""
+    return f"""
+select '{table}' as table_name, c.id, g.group_id, coalesce(l.links, 0) as links, c.copies from
+  (select id, min(id) over (partition by w) as rep, count(*) over (partition by w) as copies from ({_words(table, key, text)}) where len(w) >= 20) c
+  join (with recursive p as ({_near(table, key, text)}),
+    r as (select id, min(id) over (partition by w) as rep from ({_words(table, key, text)}) where len(w) >= 20),
+    e as (select distinct a.rep as a, b.rep as b from p join r a on a.id = p.id_a join r b on b.id = p.id_b where a.rep <> b.rep),
+    both_ways as (select a, b from e union select b, a from e),
+    reach as (select distinct rep as a, rep as b from r union select x.a, y.b from reach x join both_ways y on x.b = y.a)
+    select a, min(b) as group_id from reach group by a) g on g.a = c.rep
+  left join (with p as ({_near(table, key, text)}), r as (select id, min(id) over (partition by w) as rep from ({_words(table, key, text)}) where len(w) >= 20),
+    e as (select distinct a.rep as a, b.rep as b from p join r a on a.id = p.id_a join r b on b.id = p.id_b where a.rep <> b.rep)
+    select a, count(distinct b) as links from (select a, b from e union select b, a from e) group by a) l on l.a = c.rep
+where c.copies > 1 or l.links is not null"""
+
+
+_PIECES = f"""
+items as (
+  select distinct 'document_content' as table_name, section_id as item_id, content_text as t from document_content where content_text is not null and section_id is not null
+  union select distinct 'embedding_table', chunk_id, chunk_text from embedding_table where chunk_text is not null and chunk_id is not null),
+split as (select *, list_filter(regexp_split_to_array(t, '[{WS}]+'), lambda x: x <> '') as ws from items),
+small as (select * from split where len(ws) between 1 and 400),
+large as (select table_name, item_id, t, ws, len(ws) as n, regexp_split_to_array(t, '[^{WS}]+') as gaps from split where len(ws) > 400),
+bounds as (select *, list_append(list_filter(range(1, n), lambda k: ws[k][-1] in ('.', '!', '?') or contains(gaps[k + 1], chr(10))), n) as ends from large),
+kinds as (select table_name, item_id, n, ends, case when list_max(list_transform(range(1, len(ends) + 1), lambda i: ends[i] - case when i = 1 then 0 else ends[i - 1] end)) > 400 then 'forced' else 'natural' end as cut from bounds),
+cuts as (
+  select table_name, item_id, 1 as k, cast(0 as bigint) as s,
+    case when coalesce(list_max(list_filter(ends, lambda e: e <= 400)), 0) > 40 then list_max(list_filter(ends, lambda e: e <= 400)) else 400 end as e,
+    case when coalesce(list_max(list_filter(ends, lambda e: e <= 400)), 0) > 40 then 'natural' else 'hard' end as how from kinds
+  union all
+  select c.table_name, c.item_id, c.k + 1, c.e - 40,
+    case when b.n - (c.e - 40) <= 400 then b.n when coalesce(list_max(list_filter(ends, lambda x: x <= c.e + 360)), 0) > c.e then list_max(list_filter(ends, lambda x: x <= c.e + 360)) else c.e + 360 end,
+    case when b.n - (c.e - 40) <= 400 then 'end' when coalesce(list_max(list_filter(ends, lambda x: x <= c.e + 360)), 0) > c.e then 'natural' else 'hard' end
+  from cuts c join kinds b on b.table_name = c.table_name and b.item_id = c.item_id where c.how <> 'end'),
+places as (select table_name, item_id, k, size, sum(gap + size) over (partition by table_name, item_id order by k) as stop
+  from (select table_name, item_id, k, len(gaps[k]) as gap, len(ws[k]) as size from (select *, unnest(range(1, n + 1)) as k from large)))
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "p1_found": f"with {_LINES} select distinct c.section_id, cast(c.line_no as integer) as line_no from counted c join often o on c.source = o.source and c.k = o.k",
@@ -86,6 +126,13 @@ select d.section_id, case when k.n > 0 then coalesce(k.t, '') else d.content_tex
 from (select distinct section_id, content_text from document_content where section_id is not null) d left join kept k on k.section_id = d.section_id""",
         "p1_clusters": f"with {_NEAR} select source, standing as form, count(distinct collection_path) as docs, count(distinct (section_id, line_no)) as lines, count(distinct form) as forms from near_gone group by source, near, standing",
         "p3_found": f"with {_OVER} select table_name, item_id, case when max(m) > 400 then 'forced' else 'natural' end as cut from parts group by table_name, item_id",
+        "p3_pieces": f"""with recursive {_PIECES}
+select table_name, item_id, cast(1 as integer) as chunk_number, t as chunk_text, cast(len(ws) as integer) as word_count, cast(0 as integer) as start_word, 'end' as ends, null as cut from small
+union all
+select c.table_name, c.item_id, cast(c.k as integer), substr(l.t, cast(a.stop - a.size + 1 as bigint), cast(z.stop - a.stop + a.size as bigint)), cast(c.e - c.s as integer), cast(c.s as integer), c.how, b.cut
+from cuts c join kinds b on b.table_name = c.table_name and b.item_id = c.item_id join large l on l.table_name = c.table_name and l.item_id = c.item_id
+  join places a on a.table_name = c.table_name and a.item_id = c.item_id and a.k = c.s + 1 join places z on z.table_name = c.table_name and z.item_id = c.item_id and z.k = c.e""",
+        "p4_groups": _groups("document_content", "section_id", "content_text") + " union all " + _groups("embedding_table", "chunk_id", "chunk_text"),
         "p4_found": _near("document_content", "section_id", "content_text") + " union all " + _near("embedding_table", "chunk_id", "chunk_text"),
         "p8_found": f"""with d as ({_words('documents', 'doc_id', 'text')}), e as ({_words('eval_items', 'item_id', 'text')}),
 dg as (select id, unnest(list_transform(range(1, len(w) - 10), lambda i: {_grams(12)})) as g from d where len(w) >= 12),
@@ -104,4 +151,14 @@ g as (select id, n, unnest(gs) as g, generate_subscripts(gs, 1) as i from (selec
 again as (select id, n, i from (select id, n, i, min(i) over (partition by id, g) as first from g) where i > first),
 covered as (select distinct id, n, i + k as p from again, range(0, 5) r(k))
 select id as doc_id from covered group by id, n having count(*) * 100 >= 30 * n""",
+        "p9_shares": f"""with one as (select distinct doc_id, text from documents where doc_id is not null),
+d as (select doc_id as id, coalesce(list_transform({_SPLIT.format('text')}, lambda x: lower(x)), []) as w,
+  list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_replace(x, '^[{WS}]+|[{WS}]+$', '', 'g')), lambda x: x <> '') as lines from one),
+g as (select id, unnest(gs) as g, generate_subscripts(gs, 1) as i from (select id, list_transform(range(1, len(w) - 3), lambda i: {_grams(5)}) as gs from d)),
+again as (select id, i from (select id, i, min(i) over (partition by id, g) as first from g) where i > first),
+covered as (select id, count(distinct i + k) as n from again, range(0, 5) r(k) group by id),
+tops as (select id, max(n) as n from (select id, g, count(*) as n from (select id, unnest(list_transform(range(1, len(w) - 1), lambda i: {_grams(3)})) as g from d) group by id, g) group by id)
+select d.id as doc_id, cast(len(w) as integer) as n_words, cast(coalesce(c.n, 0) as integer) as repeated_words, case when len(w) > 0 then coalesce(c.n, 0) / len(w) else 0.0 end as share,
+  case when len(lines) > 0 then 1 - len(list_distinct(lines)) / len(lines) else 0.0 end as line_share, case when t.n is not null then t.n / (len(w) - 2) else 0.0 end as top_share
+from d left join covered c on c.id = d.id left join tops t on t.id = d.id""",
     }

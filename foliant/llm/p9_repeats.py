@@ -118,7 +118,7 @@ def _shares(batches):
             n, again = len(words), repeated(words)
             lines = [x for x in map(str.strip, (text or "").split("\n")) if x]
             top = Counter(zip(words, words[1:], words[2:])).most_common(1) if n > 2 else []
-            rows.append((doc, n, again, round(again / n, 6) if n else 0.0, round(1 - len(set(lines)) / len(lines), 6) if lines else 0.0, round(top[0][1] / (n - 2), 6) if top else 0.0))
+            rows.append((doc, n, again, again / n if n else 0.0, 1 - len(set(lines)) / len(lines) if lines else 0.0, top[0][1] / (n - 2) if top else 0.0))
         yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 6, types)], names=names)
 
 
