@@ -29,35 +29,45 @@ def session(cores: str | int = "*", partitions: int | None = None) -> SparkSessi
 
 #: Bytes of a file that make a task worth while.
 TASK_BYTES = 256 * 1024
+#: Session setting: into how many partitions tables that one task would read are spread (a single row group can't be split); unset, none are.
+SPREAD = "spark.foliant.spread"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"), f"{sf_dir}/{name}.parquet")
+    """A table of a folder, ``<name>.parquet`` or ``<name>``; without buckets' own column."""
+    path = f"{sf_dir}/{name}.parquet"
+    fs, at = file_system(spark, path)
+    if not fs.exists(at):
+        path = f"{sf_dir}/{name}"
+    df = spark.read.parquet(path).drop("_bucket")
+    tasks = int(spark.conf.get(SPREAD, "0"))
+    return spread(df, path, tasks) if tasks > 1 else df
 
 
-def spread(df: DataFrame, path: str) -> DataFrame:
-    """A table of fewer splits than cores, spread over them; a single row group can't be read by several tasks.
-
-    Tables with splits for half the cores or more, all large ones that is, and tables too small to matter stay as they are.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
+def file_system(spark: SparkSession, path: str):
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    size = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(at).getLength()
-    want = min(cores, size // TASK_BYTES)
-    return df.repartition(int(want)) if want > 1 and size < cores * int(spark.conf.get("spark.sql.files.openCostInBytes", "4194304").rstrip("b")) and df.rdd.getNumPartitions() * 2 < want else df
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def spread(df: DataFrame, path: str, tasks: int) -> DataFrame:
+    """A table of a single file, spread over so many tasks; one too small to matter, or of several files, stays as it is."""
+    fs, at = file_system(df.sparkSession, path)
+    want = min(tasks, fs.getContentSummary(at).getLength() // TASK_BYTES)
+    return df.repartition(int(want)) if want > 1 and fs.getFileStatus(at).isFile() else df
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: the cluster's ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests, a local session) a temporary folder is made and set.
+    Only in a local session without that setting (tests) a temporary folder is made and set; on a cluster its absence is an error.
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
     if not sc.getCheckpointDir():
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         sc.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="foliant-"))
     return sc.getCheckpointDir().rstrip("/")
 
