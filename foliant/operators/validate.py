@@ -77,47 +77,65 @@ def wrong_words(df: DataFrame, columns: list[str], stored: str = "word_count") -
     return df.withColumn("real_words", real).where(F.col(stored).isNotNull() & (F.col(stored) != F.col("real_words")))
 
 
-def loaded_documents(document: DataFrame, content: DataFrame, expected: DataFrame | None = None) -> DataFrame:
-    """All checks of loaded documents; an empty table is the only failure then."""
-    if document.isEmpty():
-        return document.sparkSession.createDataFrame([("empty", "document", "")], "check string, key string, detail string")
-    k = ["collection_path"]
-    both_keys = ["collection_path", "sort_order"]
+def _rows_checked(df: DataFrame, table: str, columns: list[str], hash_column: str | None = None) -> DataFrame:
+    """Everything that a row can break by itself, in one pass: constraints, a missing hash, a wrong number of words."""
+    tests = [F.when(F.expr(cond), F.struct(F.lit(name).alias("check"), F.lit(table).alias("detail"))) for name, cond in CHECKS[table].items()]
+    if hash_column:
+        tests.append(F.when(F.col(hash_column).isNull(), F.struct(F.lit("hash_missing").alias("check"), F.lit("").alias("detail"))))
+    if columns:
+        df = df.withColumn("_real", reduce(lambda a, b: a + b, [word_count(c) for c in columns]))
+        tests.append(F.when(F.col("word_count") != F.col("_real"), F.struct(F.lit("word_count").alias("check"), F.concat_ws(" / ", "word_count", "_real").alias("detail"))))
+    return df.select(F.concat_ws("/", *[F.col(k).cast("string") for k in KEYS[table]]).alias("key"), F.explode(F.array_compact(F.array(*tests))).alias("f")).select("f.check", "key", "f.detail")
+
+
+def _family(parents: DataFrame, children: DataFrame, stated: str, none: str, expected: DataFrame | None, repeated: bool) -> DataFrame:
+    """Everything that parents and children break together: one aggregate of each side by path, joined once.
+
+    A parent's rows are as many failures as there are rows; an orphan is one for each of its rows.
+    """
+    k = "collection_path"
+    own = parents.where(F.col(k).isNotNull()).groupBy(k, F.col(stated).alias("stated")).agg(F.count("*").alias("times")).groupBy(k).agg(F.collect_list(F.struct("stated", "times")).alias("versions"), F.sum("times").alias("n_parents"))
+    order = children.groupBy(k).agg(F.count("*").alias("n"), F.min("sort_order").alias("lowest"), F.max("sort_order").alias("highest"), F.count_distinct("sort_order").alias("n_distinct"))
+    if expected is not None:
+        own = own.join(expected.select(k).distinct().withColumn("_wanted", F.lit(True)), k, "full")
+    joined = own.join(order, k, "full")
+    found = F.coalesce("n", F.lit(0))
+    one = lambda cond, name, detail=F.lit(""): F.when(cond, F.array(F.struct(F.lit(name).alias("check"), detail.cast("string").alias("detail"), F.lit(1).cast("bigint").alias("times"))))
+    differ = F.transform(F.filter(F.coalesce("versions", F.array()), lambda v: v["stated"] != found), lambda v: F.struct(F.lit("count").alias("check"), F.concat_ws(" / ", v["stated"].cast("string"), found.cast("string")).alias("detail"), v["times"].alias("times")))
+    childless_ = F.when(F.col("n_parents").isNotNull() & F.col("n").isNull(), F.array(F.struct(F.lit(none).alias("check"), F.lit("").alias("detail"), F.col("n_parents").alias("times"))))
     parts = [
-        constraint_failures(document, "document"),
-        constraint_failures(content, "document_content"),
-        failures(document.where("source_binary_hash is null"), "hash_missing", k),
-        failures(repeated_keys(document, k), "repeated", k, F.col("n")),
-        failures(counts_differ(document, content, "collection_path", "n_parsed_sections"), "count", k, F.concat_ws(" / ", "stated", "found")),
-        failures(childless(document, content, {"collection_path": "collection_path"}), "no_sections", k),
-        failures(orphans(content, document, {"collection_path": "collection_path"}), "orphan", both_keys),
-        failures(gaps(content, "collection_path", "sort_order"), "order", k, F.concat_ws(" / ", "lowest", "highest", "n", "n_distinct")),
-        failures(wrong_words(content, ["heading_text", "content_text"]), "word_count", both_keys, F.concat_ws(" / ", "word_count", "real_words")),
+        differ,
+        childless_,
+        one(F.col("n").isNotNull() & ((F.col("lowest") != 1) | (F.col("highest") != F.col("n")) | (F.col("n_distinct") != F.col("n"))), "order", F.concat_ws(" / ", "lowest", "highest", "n", "n_distinct")),
     ]
+    if repeated:
+        parts.append(one(F.col("n_parents") > 1, "repeated", F.col("n_parents")))
     if expected is not None:
-        parts.insert(0, failures(missing(expected, document, "collection_path"), "missing", k))
+        parts.append(one(F.col("_wanted") & F.col("n_parents").isNull(), "missing"))
+    none_ = F.expr("cast(array() as array<struct<check:string,detail:string,times:bigint>>)")
+    flat = F.flatten(F.array(*[F.coalesce(p, none_) for p in parts]))
+    shown = joined.select(F.coalesce(k, F.lit("")).alias("key"), F.explode(flat).alias("f"))
+    return shown.select("f.check", "key", "f.detail", F.explode(F.sequence(F.lit(1), F.col("f.times"))).alias("_")).drop("_")
+
+
+def _loaded(parents: DataFrame, children: DataFrame, parent: str, child: str, texts: list[str], stated: str, none: str, expected: DataFrame | None) -> DataFrame:
+    if parents.isEmpty():
+        return parents.sparkSession.createDataFrame([("empty", parent, "")], "check string, key string, detail string")
+    orphan = failures(orphans(children, parents, {"collection_path": "collection_path"}), "orphan", KEYS[child])
+    parts = [_rows_checked(parents, parent, [], "source_binary_hash"), _rows_checked(children, child, texts), _family(parents, children, stated, none, expected, parent == "document"), orphan]
+    if parent != "document":
+        parts.append(failures(repeated_keys(children, KEYS[child]), "repeated", KEYS[child], F.col("n")))
     return both(parts)
 
 
+def loaded_documents(document: DataFrame, content: DataFrame, expected: DataFrame | None = None) -> DataFrame:
+    """All checks of loaded documents; an empty table is the only failure then."""
+    return _loaded(document, content, "document", "document_content", ["heading_text", "content_text"], "n_parsed_sections", "no_sections", expected)
+
+
 def loaded_sheets(sheet: DataFrame, content: DataFrame, expected: DataFrame | None = None) -> DataFrame:
     """All checks of the text leg of workbooks."""
-    if sheet.isEmpty():
-        return sheet.sparkSession.createDataFrame([("empty", "sheet", "")], "check string, key string, detail string")
-    k, both_keys = ["collection_path"], ["collection_path", "sort_order"]
-    parts = [
-        constraint_failures(sheet, "sheet"),
-        constraint_failures(content, "sheet_content"),
-        failures(sheet.where("source_binary_hash is null"), "hash_missing", k),
-        failures(repeated_keys(content, both_keys), "repeated", both_keys, F.col("n")),
-        failures(childless(sheet, content, {"collection_path": "collection_path"}), "no_rows", k),
-        failures(orphans(content, sheet, {"collection_path": "collection_path"}), "orphan", both_keys),
-        failures(counts_differ(sheet, content, "collection_path", "n_rows"), "count", k, F.concat_ws(" / ", "stated", "found")),
-        failures(gaps(content, "collection_path", "sort_order"), "order", k, F.concat_ws(" / ", "lowest", "highest", "n", "n_distinct")),
-        failures(wrong_words(content, ["row_text"]), "word_count", both_keys, F.concat_ws(" / ", "word_count", "real_words")),
-    ]
-    if expected is not None:
-        parts.insert(0, failures(missing(expected, sheet, "collection_path"), "missing", k))
-    return both(parts)
+    return _loaded(sheet, content, "sheet", "sheet_content", ["row_text"], "n_rows", "no_rows", expected)
 
 
 def structured(rows: DataFrame, sheet: DataFrame, expected: DataFrame | None = None) -> DataFrame:
