@@ -54,15 +54,24 @@ def unknown_elements(elements: DataFrame) -> DataFrame:
     return classified(elements).where("role = 'unknown'").select("doc_id", "seq", "elem_type", "label")
 
 
+def section_failures(elements: DataFrame) -> DataFrame:
+    """Documents that can't be taken apart: ``doc_id, stage, reason`` with the first unknown element in reading order."""
+    first = unknown_elements(elements).groupBy("doc_id").agg(F.min(F.struct("seq", "elem_type", "label"))["label"].alias("label"), F.count("*").alias("n"))
+    return first.select("doc_id", F.lit("clean").alias("stage"), F.concat(F.lit("unknown element "), F.coalesce("label", F.lit("")), F.lit(" ("), F.col("n").cast("string"), F.lit(")")).alias("reason"))
+
+
 def sections(elements: DataFrame) -> DataFrame:
     """``doc_id, sort_order, heading_text, content_text, word_count, page_start, page_end``.
 
+    A document with an element that carries text but has no rule gives no sections; :func:`section_failures` names it.
     A running count of headings numbers the sections of a document; text before the first heading is a section without
     heading. Blocks join with a blank line; a section without blocks has a null content. Window and grouping share the
     document key, so there is one shuffle; a document is one file and bounded by it.
     """
-    kept = classified(elements).where("role is not null")
-    w = Window.partitionBy("doc_id").orderBy("seq")
+    whole = Window.partitionBy("doc_id")
+    known = classified(elements).withColumn("_odd", F.max(F.coalesce(F.col("role") == "unknown", F.lit(False))).over(whole)).where(~F.col("_odd"))
+    kept = known.where("role is not null")
+    w = whole.orderBy("seq")
     cut = kept.withColumn("part", F.sum(F.when(F.col("role") == "heading", 1).otherwise(0)).over(w))
     grouped = cut.groupBy("doc_id", "part").agg(
         F.max(F.when(F.col("role") == "heading", F.col("block"))).alias("heading_text"),

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliant.functions.identity import column_name
+from foliant.functions.identity import LONGEST_NAME, column_name
 from foliant.functions.text import low64_sha256, word_count
 
 OVERLAP = 0.5
@@ -79,11 +79,18 @@ def catalog(content: DataFrame) -> DataFrame:
 
 
 def long_form(content: DataFrame, sheets: DataFrame) -> DataFrame:
-    """Rows of sheets with a structured target as ``structured_table, collection_path, sort_order, column, value``; blank values are null."""
+    """Rows of sheets with a structured target as ``structured_table, collection_path, sort_order, column, value``; blank values are null.
+
+    Headers that give one column name keep apart: later ones get ``_2``, ``_3`` and so on.
+    """
     target = sheets.where("structured_table is not null").select("collection_path", "structured_table").distinct()
-    cut = content.join(target, "collection_path").select("structured_table", "collection_path", "sort_order", F.posexplode(F.split("row_text", "\n")).alias("pos", "line"))
-    value = F.trim(F.regexp_replace("line", r"^[^:]*:", ""))
-    return cut.where(F.contains("line", F.lit(":"))).select("structured_table", "collection_path", "sort_order", column_name(F.regexp_extract("line", "^([^:]*):", 1), "pos").alias("column"), F.when(value != "", value).alias("value"))
+    value = lambda x: F.trim(F.regexp_replace(x, r"^[^:]*:", ""))
+    pairs = F.transform(F.split("row_text", "\n"), lambda x, i: F.when(F.contains(x, F.lit(":")), F.struct(column_name(F.regexp_extract(x, "^([^:]*):", 1), i).alias("name"), F.when(value(x) != "", value(x)).alias("value"))))
+    nth = lambda p, i: F.size(F.filter(F.slice(F.col("_p"), 1, i), lambda q: q["name"] == p["name"]))
+    tail = lambda n: F.concat(F.lit("_"), (n + 1).cast("string"))
+    apart = F.transform("_p", lambda p, i: F.struct(F.when(nth(p, i) == 0, p["name"]).otherwise(F.concat(F.regexp_replace(F.substring(p["name"], F.lit(1), F.lit(LONGEST_NAME) - F.length(tail(nth(p, i)))), "_+$", ""), tail(nth(p, i)))).alias("column"), p["value"].alias("value")))
+    rows = content.join(target, "collection_path").withColumn("_p", F.filter(pairs, lambda x: x.isNotNull()))
+    return rows.select("structured_table", "collection_path", "sort_order", F.explode(apart).alias("x")).select("structured_table", "collection_path", "sort_order", "x.column", "x.value")
 
 
 def wide(long: DataFrame, columns: list[str]) -> DataFrame:

@@ -24,6 +24,11 @@ def test_sections(spark, rows):
     assert rows(sections.unknown_elements(frame(spark))) == [("d", 10, "group", "list")]
 
 
+def test_a_document_with_an_unknown_element_fails(spark, rows):
+    assert {r.doc_id for r in sections.sections(frame(spark)).collect()} == {"f"}
+    assert rows(sections.section_failures(frame(spark))) == [("d", "clean", "unknown element list (1)")]
+
+
 def test_documents_and_records(spark, rows):
     s = sections.sections(frame(spark).where("elem_type <> 'group'"))
     assert [(r.doc_id, r.n_parsed_sections, r.first_page, r.last_page) for r in sections.documents(s).orderBy("doc_id").collect()] == [("d", 3, 1, 5), ("f", 1, 1, 1)]

@@ -38,6 +38,31 @@ def test_workbook_to_stored_tables(spark, tmp_path, rows):
     assert spark.read.parquet(str(tmp_path / "t/sheet")).count() == 1
 
 
+STYLES = """<styleSheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><numFmts><numFmt numFmtId="164" formatCode="yyyy\\-mm\\-dd"/><numFmt numFmtId="165" formatCode="0.00 &quot;days&quot;"/><numFmt numFmtId="166" formatCode="[h]:mm"/></numFmts>
+<cellXfs><xf numFmtId="0"/><xf numFmtId="14"/><xf numFmtId="164"/><xf numFmtId="165"/><xf numFmtId="166"/><xf numFmtId="20"/></cellXfs></styleSheet>"""
+
+
+def test_dates_and_shared_formulas(spark, tmp_path, rows):
+    sheet = """<sheetData><row r="1"><c r="A1" s="1"><v>45366</v></c><c r="B1" s="2"><v>45366.5</v></c><c r="C1" s="3"><v>45366</v></c><c r="D1" s="4"><v>1.5</v></c><c r="E1" s="5"><v>0.25</v></c><c r="F1" s="1"><v>59</v></c></row>
+    <row r="2"><c r="A2"><f t="shared" ref="A2:A4" si="0">B2*$C$1+SUM(D:D)+"B2"+'B2 x'!B2+LOG10(2)</f><v>1</v></c></row><row r="3"><c r="A3"><f t="shared" si="0"/><v>2</v></c><c r="B3"><f t="shared" si="9"/><v>7</v></c></row></sheetData>"""
+    book(tmp_path / "d.xlsx", sheet)
+    with zipfile.ZipFile(tmp_path / "d.xlsx", "a") as z:
+        z.writestr("xl/styles.xml", STYLES)
+    got = {(r, c): v for _, r, c, v in xlsx.cells(str(tmp_path / "d.xlsx"))}
+    assert [got[1, c] for c in range(1, 7)] == ["2024-03-15 00:00:00", "2024-03-15 12:00:00", "45366", "1 day, 12:00:00", "06:00:00", "1900-02-28 00:00:00"]
+    assert got[2, 1] == "=B2*$C$1+SUM(D:D)+\"B2\"+'B2 x'!B2+LOG10(2)" and got[3, 1] == "=B3*$C$1+SUM(D:D)+\"B2\"+'B2 x'!B3+LOG10(2)" and got[3, 2] == "7"
+    assert xlsx.moved("A1+$A1+A$1+AA9:AB9+2:3", -1, 1) == "#REF!+#REF!+B$1+AB8:AC8+1:2"
+    files = spark.read.format("binaryFile").load(str(tmp_path / "*.xlsx"))
+    assert {(r.r, r.c): r.value for r in xlsx.read_cells(files).collect()} == got
+    assert [r.sheet for r in xlsx.read_cells(files, "sheets").collect()] == ["Products"] and xlsx.read_cells(files, "merged").count() == 0
+
+
+def test_clashing_columns_keep_apart(spark, rows):
+    content = spark.createDataFrame([("a", 1, "Unit Price: 1\nunit price: 2\nno colon\nUNIT-PRICE: \nB: 3"), ("a", 2, None), ("a", 3, "")], "collection_path string, sort_order int, row_text string")
+    sheets = spark.createDataFrame([("a", "t")], "collection_path string, structured_table string")
+    assert rows(s.long_form(content, sheets).select("column", "value")) == [("col_b", "3"), ("col_unit_price", "1"), ("col_unit_price_2", "2"), ("col_unit_price_3", None)]
+
+
 def test_sheet_list(tmp_path):
     book(tmp_path / "b.xlsx", SHEET, ("B", "A"))
     assert [n for n, _ in xlsx.sheet_list(str(tmp_path / "b.xlsx"))] == ["B", "A"]
