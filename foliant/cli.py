@@ -1,4 +1,4 @@
-"""Command line: validate stored tables, report on quality, ingest workbooks, embed, and acquire files.
+"""Command line: ingest documents and workbooks, embed, acquire files, validate all of them, and report on quality.
 
 Exit code 0: done (findings of the report change nothing); 1: failures or a wrong setting; 2: wrong usage.
 """
@@ -8,11 +8,12 @@ from __future__ import annotations
 import argparse
 import json
 import logging
+import os
 import sys
 import time
 from pathlib import Path
 
-from foliant.sources.config import ConfigError, EmbedSettings, anchored, load
+from foliant.sources.config import ConfigError, load, load_env
 
 log = logging.getLogger("foliant")
 
@@ -41,14 +42,24 @@ def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="foliant", description=__doc__)
     p.add_argument("--root", default=".", help="relative paths start here")
     p.add_argument("--log-dir")
+    p.add_argument("--env-file", help="assignments that go before the environment")
     sub = p.add_subparsers(dest="command", required=True)
-    for name, text in (("validate", "check stored documents, sheets and embeddings"), ("report", "write a quality report")):
-        s = sub.add_parser(name, help=text)
-        s.add_argument("--tables", required=True, help="folder of the tables")
-        if name == "report":
-            s.add_argument("--out", required=True)
+    s = sub.add_parser("validate", help="check stored tables, embeddings, cleaned records, downloads or authored sheets")
+    s.add_argument("--tables", help="folder of the tables")
+    s.add_argument("--embeddings", help="config of embeddings")
+    s.add_argument("--cleaned", help="folder of cleaned records")
+    s.add_argument("--manifest", help="manifest of downloads")
+    s.add_argument("--inputs", help="config of workbooks")
+    s = sub.add_parser("report", help="write a quality report")
+    s.add_argument("--tables", required=True, help="folder of the tables")
+    s.add_argument("--out", required=True)
+    s = sub.add_parser("files", help="parse, take apart and load documents")
+    s.add_argument("--config", required=True)
+    s.add_argument("--tables", required=True)
+    s.add_argument("--overwrite", action="store_true")
     s = sub.add_parser("sheets", help="ingest workbooks")
-    s.add_argument("--files", required=True)
+    s.add_argument("--files", help="pattern of workbooks, every sheet of them")
+    s.add_argument("--config", help="sheets with their settings")
     s.add_argument("--tables", required=True)
     s.add_argument("--prefix")
     s.add_argument("--overwrite", action="store_true")
@@ -58,18 +69,28 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--config", required=True)
     s.add_argument("--dry-run", action="store_true")
     s.add_argument("--overwrite", action="store_true")
+    s.add_argument("--tasks", type=int, default=8, help="fetches at a time")
     return p
 
 
-def validate(spark, folder: str) -> int:
-    from foliant.operators import validate as v
-    from foliant.runtime import table
-
-    parts = [v.loaded_documents(table(spark, folder, "document"), table(spark, folder, "document_content")), v.loaded_sheets(table(spark, folder, "sheet"), table(spark, folder, "sheet_content"))]
-    counts = v.both(parts).groupBy("check").count().orderBy("check").collect()
+def validate(spark, o: argparse.Namespace) -> int:
+    from foliant import pipelines as p
+    from foliant.operators.validate import both
+
+    asked = {
+        "tables": lambda x: p.validate_tables(spark, x),
+        "embeddings": lambda x: p.validate_embeddings(spark, load(x), o.root),
+        "cleaned": lambda x: p.validate_cleaned(spark, x),
+        "manifest": lambda x: p.validate_downloads(spark, x, o.root),
+        "inputs": lambda x: p.validate_inputs(spark, load(x), o.root),
+    }
+    parts = [f(getattr(o, name)) for name, f in asked.items() if getattr(o, name)]
+    if not parts:
+        raise ConfigError("nothing to validate")
+    counts = both(parts).groupBy("check").count().orderBy("check").collect()
     for r in counts:
         log.error("%s: %d", r["check"], r["count"])
-    return int(bool(counts))
+    return int(any(not r["check"].startswith("warning") for r in counts))
 
 
 def report(spark, folder: str, out: str) -> int:
@@ -81,101 +102,51 @@ def report(spark, folder: str, out: str) -> int:
 
 
 def ingest_sheets(spark, files: str, folder: str, prefix: str | None = None, overwrite: bool = False) -> dict[str, int]:
-    """Read workbooks to cells, then rows, and load sheets with their contents; bad headers are errors of their sheet and stop only it."""
-    from pyspark.sql import functions as F
-
-    from foliant.functions.identity import sheet_path, stem
-    from foliant.operators import sheets as s
-    from foliant.operators import store
-    from foliant.sources import xlsx
-
-    xlsx.register(spark)
-    cells = s.fill_merged(spark.read.format("workbook").load(files), spark.read.format("workbook").option("what", "merged").load(files)).cache()
-    span = s.bounds(cells)
-    heads = s.headers(cells, span)
-    bad = s.header_problems(heads)
-    for r in bad.collect():
-        log.error("%s / %s: %s %s", r.file, r.sheet, r.problem, r.header)
-    rows = s.data_rows(cells, span, heads.join(bad.select("file", "sheet").distinct(), ["file", "sheet"], "left_anti")).withColumn("collection_path", sheet_path("file", "sheet", prefix=prefix))
-    texts = s.text_rows(rows.where("collection_path is not null")).cache()
-    names = rows.select("collection_path", F.concat(stem("file"), F.lit(" — "), F.col("sheet")).alias("title")).distinct()
-    parents = s.catalog(texts).join(names, "collection_path").select("collection_path", "title", "n_rows", "source_binary_hash", F.lit(None).cast("string").alias("structured_table"), F.current_timestamp().alias("ingested_at"))
-    return store.load_family(parents, {"sheet_content": texts}, folder, "sheet", overwrite=overwrite)
-
-
-def embed(spark, config: dict, root: str) -> int:
-    """Embed the tables of a config; one bad table does not stop the others."""
-    from pyspark.sql import functions as F
-
-    from foliant.operators import chunks, store
-    from foliant.operators import embed as e
-
-    failed = 0
-    for name, t in config.get("tables", {}).items():
-        try:
-            own = EmbedSettings.of(config, t)
-            keys, columns = t["keys"], t["embed_columns"]
-            source = spark.read.parquet(str(anchored(t["source"], root)))
-            target = str(anchored(t["target"], root))
-            rows = source.where(e.source_filter(source, own.source_filter)) if own.source_filter else source
-            same = {k: k for k in keys}
-            stored = store.read(spark, target)
-            if own.overwrite and stored is not None:
-                store.replace(e.surviving(stored, rows, same), target)
-                stored = store.read(spark, target)
-            rows = rows if stored is None else e.resume(rows, stored, same)
-            text = rows.where(e.has_text(columns)).select(*keys, e.embed_text(columns).alias("_text"))
-            cut = chunks.additive(text, "_text", own.max_tokens, own.overlap).select(*keys, "chunk_number", "chunk_text", "word_count")
-            e.encode(cut, batch=own.batch_size).withColumn("chunk_terms", e.terms("chunk_text")).write.mode("append").parquet(target)
-            log.info("%s: %d chunks", name, spark.read.parquet(target).agg(F.count("*")).first()[0])
-        except (ConfigError, KeyError, ValueError) as x:
-            failed += 1
-            log.error("%s: %s", name, x)
-    return int(bool(failed))
-
-
-def acquire(spark, config: dict, root: str, dry_run: bool, overwrite: bool) -> int:
-    from foliant.operators import acquire as a
-    from foliant.sources.fetch import fetch
-
-    found = a.explicit_targets(spark, config.get("targets", []))
-    a.checked(found, config.get("min_targets", 0))
-    manifest = Path(root, config.get("manifest", "manifest.json"))
-    prior = {}
-    if manifest.exists() and not overwrite:
-        try:
-            prior = {r["url"]: r for r in (x.asDict(recursive=True) for x in a.read_manifest(spark, str(manifest)).orderBy("pos").collect())}
-        except ValueError as x:
-            log.warning("the manifest is ignored: %s", x)
-    entries = a.run([r.asDict() for r in found.collect()], root, fetch, prior, overwrite=overwrite, dry_run=dry_run)
-    if not dry_run:
-        a.write_manifest(str(manifest), entries)
-    for x in entries:
-        log.info("%s: %s%s", x["url"], x["status"], f" ({x['error']})" if x["error"] else "")
-    return int(any(x["status"] == "failed" for x in entries))
+    """Every sheet of the workbooks that a pattern matches."""
+    from foliant import pipelines
+
+    return pipelines.ingest_sheets(spark, files, folder, prefix, overwrite, buckets=None)
 
 
 def main(args: list[str] | None = None) -> int:
     o = parser().parse_args(args)
     set_up_logging(Path(o.log_dir) if o.log_dir else None)
+    spark = None
     try:
-        config = load(o.config) if "config" in o else {}
+        if o.env_file:
+            os.environ.update(load_env(o.env_file, {}))
+        config = load(o.config) if getattr(o, "config", None) else {}
+        from foliant import pipelines as p
         from foliant.runtime import session
 
         spark = session()
         if o.command == "validate":
-            return validate(spark, o.tables)
+            return validate(spark, o)
         if o.command == "report":
             return report(spark, o.tables, o.out)
+        if o.command == "files":
+            done = p.ingest_files(spark, config, o.root, o.tables, o.overwrite)
+            log.info("%s", done)
+            return int(done["failed"] > 0)
         if o.command == "sheets":
-            log.info("%s", ingest_sheets(spark, o.files, o.tables, o.prefix, o.overwrite))
+            if bool(o.files) == bool(config):
+                raise ConfigError("either --files or --config")
+            log.info("%s", p.ingest_sheets(spark, o.files, o.tables, o.prefix, o.overwrite, config or None, o.root))
             return 0
         if o.command == "embed":
-            return embed(spark, config, o.root)
-        return acquire(spark, config, o.root, o.dry_run, o.overwrite)
+            return int(p.embed_tables(spark, config, o.root) > 0)
+        entries = p.acquire_targets(spark, config, o.root, o.dry_run, o.overwrite, o.tasks)
+        for x in entries:
+            log.info("%s: %s%s", x["url"], x["status"], f" ({x['error']})" if x["error"] else "")
+        return int(any(x["status"] == "failed" for x in entries))
     except (ConfigError, ValueError) as e:
         log.error("%s", e)
         return 1
+    finally:
+        if spark is not None:
+            from foliant.runtime import cleanup
+
+            cleanup(spark)
 
 
 if __name__ == "__main__":

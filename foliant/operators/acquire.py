@@ -15,6 +15,8 @@ from foliant.operators.store import write_json
 from foliant.schemas import MANIFEST, TARGETS
 
 STATUSES = ("fetched", "skipped", "failed")
+#: Hex of the bytes that files of a kind begin with.
+MAGIC = {"pdf": "25504446", "zip": "504B03", "docx": "504B03", "xlsx": "504B03"}
 
 
 class TargetError(ValueError):
@@ -87,6 +89,8 @@ def manifest_failures(entries: DataFrame, files: DataFrame, content: dict[str, s
     if content and "head" in files.columns:
         for ext, magic in content.items():
             wrong = wrong | (F.lower("path").endswith(f".{ext}") & ~F.hex("head").startswith(magic))
+    if content and "readable" in files.columns:
+        wrong = wrong | ~F.coalesce("readable", F.lit(True))
     problem = (
         F.when(F.col("status") == "failed", "failed").when(F.col("path").isNull(), "no_artifacts").when(F.col("size").isNull(), "missing").when(F.col("size") == 0, "empty").when(F.col("size") != F.col("want"), "size").when(wrong, "content")
     )
@@ -95,7 +99,7 @@ def manifest_failures(entries: DataFrame, files: DataFrame, content: dict[str, s
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """Entries of a manifest file with their place: ``pos, url, destination, group, status, error, artifacts``. Malformed files and entries are errors."""
-    raw = json.loads(Path(path).read_text(encoding="utf-8"))
+    raw = json.loads("".join(r.value for r in spark.read.text(path, wholetext=True).collect()))
     if not isinstance(raw, dict) or not isinstance(raw.get("entries"), list):
         raise ValueError("a manifest is an object with a list of entries")
     for i, e in enumerate(raw["entries"]):
@@ -142,6 +146,59 @@ def run(targets: list[dict], root: str, fetch: Callable[[str, Path], None], prio
     return entries
 
 
+def run_in_tasks(targets: DataFrame, root: str, fetch: Callable[[str, Path], None], prior: DataFrame | None = None, after: Callable[[dict, Path], list[Path]] | None = None, overwrite: bool = False, dry_run: bool = False, tasks: int = 8) -> list[dict]:
+    """Like :func:`run`, with the targets spread over tasks that write to a shared folder; entries come back in the order of the targets' destinations.
+
+    A retried task finds what it fetched before and fetches it again: a download ends in a rename, so nothing half-written stays.
+    """
+    import pyarrow as pa
+
+    own = targets.select("url", F.to_json(F.struct("url", "destination", "group", "expected_size")).alias("target"))
+    if prior is None:
+        both = own.withColumn("old", F.lit(None).cast("string"))
+    else:
+        last = last_entries(prior)
+        both = own.join(last.select("url", F.to_json(F.struct("url", "status", "artifacts")).alias("old")), "url", "left")
+
+    def work(batches):
+        for b in batches:
+            out = []
+            for text, old in zip(b.column("target").to_pylist(), b.column("old").to_pylist()):
+                t = json.loads(text)
+                known = {t["url"]: json.loads(old)} if old else {}
+                out += run([t], root, fetch, {u: {"artifacts": [], **e} for u, e in known.items()}, after, overwrite, dry_run)
+            yield pa.record_batch([pa.array([json.dumps(e) for e in out], pa.string())], names=["entry"])
+
+    rows = both.repartition(tasks, "url").select("target", "old").mapInArrow(work, "entry string").collect()
+    return sorted((json.loads(r.entry) for r in rows), key=lambda e: e["destination"])
+
+
+def stored_files(spark: SparkSession, root: str) -> DataFrame:
+    """``path`` below the root, ``size, head`` (first bytes) and ``readable``: whether a zip file's directory of members can be read (null for other files)."""
+    import io
+    import zipfile
+
+    import pyarrow as pa
+
+    def look(batches):
+        for b in batches:
+            rows = []
+            for path, size, raw in zip(*(b.column(c).to_pylist() for c in ("path", "length", "content"))):
+                ok = None
+                if path.lower().endswith((".zip", ".docx", ".xlsx")):
+                    try:
+                        with zipfile.ZipFile(io.BytesIO(raw)) as z:
+                            ok = len(z.infolist()) > 0
+                    except (zipfile.BadZipFile, OSError, ValueError):
+                        ok = False
+                rows.append((path, size, raw[:8], ok))
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 4, (pa.string(), pa.int64(), pa.binary(), pa.bool_()))], names=["path", "size", "head", "readable"])
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root)
+    base = str(Path(root).resolve())
+    return files.select(F.regexp_replace("path", r"^file:/+", "/").alias("path"), "length", "content").mapInArrow(look, "path string, size bigint, head binary, readable boolean").withColumn("path", F.replace("path", F.lit(base + "/"), F.lit("")))
+
+
 def counters(entries: list[dict]) -> dict[str, int]:
     """Number of entries of each status."""
     return {s: sum(e["status"] == s for e in entries) for s in STATUSES}

@@ -74,6 +74,11 @@ def greedy(text: str, count: Callable[[str], int], max_tokens: int, overlap: int
     return out
 
 
+def words_counter() -> Callable[[str], int]:
+    """A counter as a hook: words and the special tokens."""
+    return lambda text: len(text.split()) + SPECIAL
+
+
 def by_counter(rows: DataFrame, keys: list[str], text: str, make_counter: Callable[[], Callable[[str], int]], max_tokens: int = MAX_TOKENS, overlap: int = OVERLAP) -> DataFrame:
     """Like :func:`additive` for a tokenizer: ``make_counter`` runs once a worker task. An Arrow map, no shuffle."""
     check(max_tokens, overlap)
@@ -96,10 +101,14 @@ def by_counter(rows: DataFrame, keys: list[str], text: str, make_counter: Callab
     return kept.mapInArrow(run, schema)
 
 
+def with_prefix(rows: DataFrame, prefix: Column, text: str, max_tokens: int = MAX_TOKENS, overlap: int = OVERLAP, special: int = SPECIAL) -> DataFrame:
+    """Chunks of a column with a prefix and a line end in front of each; the budget is what the prefix leaves, the word count the body's."""
+    check(max_tokens, overlap)
+    cut = additive(rows.withColumn("_prefix", prefix), text, header_budget(max_tokens, overlap, F.col("_prefix"), special), overlap, special)
+    return cut.withColumn("chunk_text", F.concat("_prefix", F.lit("\n"), "chunk_text")).drop("_prefix")
+
+
 def with_header(rows: DataFrame, header: str, text: str, max_tokens: int = MAX_TOKENS, overlap: int = OVERLAP, special: int = SPECIAL) -> DataFrame:
     """Chunks of ``text`` with ``header: value`` in front of each; the budget is what the header leaves, the word count the body's."""
-    check(max_tokens, overlap)
-    prefix = F.concat(F.lit(f"{header}: "), F.coalesce(F.col(header), F.lit("")))
     body = F.concat(F.lit(f"{text}: "), F.coalesce(F.col(text), F.lit("")))
-    cut = additive(rows.withColumn("_prefix", prefix).withColumn("_body", body), "_body", header_budget(max_tokens, overlap, prefix, special), overlap, special)
-    return cut.withColumn("chunk_text", F.concat("_prefix", F.lit("\n"), "chunk_text")).drop("_prefix", "_body")
+    return with_prefix(rows.withColumn("_body", body), F.concat(F.lit(f"{header}: "), F.coalesce(F.col(header), F.lit(""))), "_body", max_tokens, overlap, special).drop("_body")

@@ -72,6 +72,11 @@ def hashed_model(dim: int = 64) -> Callable[[], Callable[[list[str]], np.ndarray
     return lambda: lambda texts: np.stack([hashed_vector(t, dim) for t in texts]) if texts else np.zeros((0, dim), np.float32)
 
 
+def hashed_words() -> Callable[[list[str]], np.ndarray]:
+    """The stand-in as a hook: a model of 64 values."""
+    return hashed_model()()
+
+
 def encode(chunks: DataFrame, make_model: Callable[[], Callable[[list[str]], np.ndarray]] | None = None, batch: int = BATCH) -> DataFrame:
     """Adds ``embedding``: the model is made once a task and given batches of texts."""
     make = make_model or hashed_model()

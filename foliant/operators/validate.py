@@ -149,9 +149,9 @@ def structured(rows: DataFrame, sheet: DataFrame, expected: DataFrame | None = N
     return both(parts)
 
 
-def embeddings(source: DataFrame, results: DataFrame, keys: dict[str, str], dim: int, longest: int, budget: int, special: int = 2) -> DataFrame:
+def embeddings(source: DataFrame, results: DataFrame, keys: dict[str, str], dim: int, longest: int, budget: int, special: int = 2, keys_of: list[str] | None = None) -> DataFrame:
     """Checks of an embedding table: empty, sources without results, vectors, orphans and token gates (one word over the budget is only a warning)."""
-    own = KEYS["embedding_table"]
+    own = keys_of or KEYS["embedding_table"]
     if results.isEmpty():
         return results.sparkSession.createDataFrame([("empty", "embedding_table", "")], "check string, key string, detail string")
     tokens = word_count("chunk_text") + special
