@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from foliant.functions.text import col, is_blank, tokens, word_count, words
 from foliant.operators.sections import DROPPED, classified
+from foliant.runtime import materialize
 
 #: A section is flagged beyond these.
 SINGLE_LETTERS, BROKEN_WORDS = 0.15, 10
@@ -120,7 +121,11 @@ def fences(df: DataFrame, value: str) -> Column:
 
 
 def fragmentation_flags(metrics: DataFrame) -> DataFrame:
-    """Documents outside the fences: ``reasons`` of many_sections (per page, among paginated ones), long or short medians."""
+    """Documents outside the fences: ``reasons`` of many_sections (per page, among paginated ones), long or short medians.
+
+    The metrics, one row for each document, are written once: the frame and both fences read them.
+    """
+    metrics = materialize(metrics, "fragmentation")
     p, w = fences(metrics.where("total_pages > 0"), "sections_per_page"), fences(metrics, "median_words")
     paged = F.col("total_pages") > 0
     reasons = F.array_compact(
@@ -159,10 +164,42 @@ def ranked_flags(parts: dict[str, DataFrame], key: str) -> DataFrame:
     return rows.groupBy(key).agg(F.count("*").alias("n_flags"), F.array_join(F.array_sort(F.collect_set("reason")), ",").alias("reasons")).orderBy(F.desc("n_flags"), key)
 
 
-def report(sections: DataFrame, key: str) -> DataFrame:
-    """One JSON record for each document: sections, pages, coverage, medians and flagged sections."""
+def summary(sections: DataFrame, key: str) -> DataFrame:
+    """Each document's sections, pages, coverage, medians, flagged sections and missing section numbers."""
     health = text_health(sections).groupBy(key).agg(F.count_if("flagged").alias("flagged_sections"), F.max("severity").alias("worst"))
-    shown = fragmentation(sections, key).join(page_coverage(sections, key).select(key, "covered_pages", "coverage"), key, "left").join(health, key, "left")
-    return shown.select(key, F.to_json(F.struct("section_count", "total_pages", "sections_per_page", "median_words", "covered_pages", "coverage", "flagged_sections", "worst")).alias("record"))
+    numbers = number_gaps(sections, key).groupBy(key).agg(F.count("*").alias("missing_numbers"))
+    shown = fragmentation(sections, key).join(page_coverage(sections, key).select(key, "covered_pages", "coverage"), key, "left").join(health, key, "left").join(numbers, key, "left")
+    return shown.select(key, "section_count", "total_pages", "sections_per_page", "median_words", "covered_pages", "coverage", "flagged_sections", "worst", F.coalesce("missing_numbers", F.lit(0)).alias("missing_numbers"))
 
 
+def report(sections: DataFrame, key: str, parsed: tuple[DataFrame, str] | None = None, elements: DataFrame | None = None) -> DataFrame:
+    """One JSON record for each document, most flagged first: its summary, what flags it, and what could not be checked.
+
+    ``parsed`` (a frame with the key and its text column) adds the tokens that the sections lost; ``elements`` (with ``doc_id`` for the key) the tables'
+    lost tokens and the elements without a rule. A check that fails is named in ``errors`` of every record and stops only itself.
+    """
+    checks = {
+        "summary": lambda: summary(sections, key),
+        "fragmentation": lambda: fragmentation_flags(fragmentation(sections, key)).select(key, "reasons"),
+    }
+    if parsed:
+        checks["text"] = lambda: coverage_gap(parsed[0], sections, [key], parsed[1], "content_text").select(key, F.col("n_missing").alias("lost_tokens"), F.col("sample").alias("lost_sample"))
+    if elements is not None:
+        checks["tables"] = lambda: table_gap(elements, sections.withColumnRenamed(key, "doc_id")).groupBy(F.col("doc_id").alias(key)).agg(F.count("*").alias("tables_with_losses"))
+        checks["elements"] = lambda: classified(elements).where("role = 'unknown'").groupBy(F.col("doc_id").alias(key)).agg(F.count("*").alias("unhandled_elements"))
+        checks["pages"] = lambda: page_classes(elements).where("kind <> 'body'").groupBy(F.col("doc_id").alias(key)).agg(F.count("*").alias("pages_without_body"))
+    out, errors = sections.select(key).distinct(), []
+    for name, check in checks.items():
+        try:
+            out = out.join(materialize(check(), f"report-{name}"), key, "left")
+        except Exception as e:  # noqa: BLE001 - a failing check is part of the report
+            errors.append(f"{name}: {type(e).__name__}")
+    flag = lambda c, cond: F.when(F.coalesce(cond, F.lit(False)), F.lit(c)) if cond is not None else F.lit(None)
+    has = lambda c: F.col(c) if c in out.columns else F.lit(None)
+    flags = F.array_compact(F.array(
+        flag("fragmentation", F.size(has("reasons")) > 0 if "reasons" in out.columns else None), flag("health", has("flagged_sections") > 0), flag("numbers", has("missing_numbers") > 0),
+        flag("text", has("lost_tokens") > 0), flag("tables", has("tables_with_losses") > 0), flag("elements", has("unhandled_elements") > 0),
+    ))
+    shown = out.withColumn("flags", flags).withColumn("errors", F.lit(", ".join(errors)))
+    values = [c for c in shown.columns if c != key]
+    return shown.select(key, F.size("flags").alias("n_flags"), F.to_json(F.struct(*values)).alias("record")).orderBy(F.desc("n_flags"), key).select(key, "record")

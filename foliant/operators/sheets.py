@@ -93,9 +93,9 @@ def long_form(content: DataFrame, sheets: DataFrame) -> DataFrame:
     return rows.select("structured_table", "collection_path", "sort_order", F.explode(apart).alias("x")).select("structured_table", "collection_path", "sort_order", "x.column", "x.value")
 
 
-def wide(long: DataFrame, columns: list[str]) -> DataFrame:
+def wide(long: DataFrame, columns: list[str], keys: list[str] = ["collection_path", "sort_order"]) -> DataFrame:  # noqa: B006
     """A structured table with the given columns; a column that a sheet lacks is null."""
-    return long.groupBy("collection_path", "sort_order").agg(*[F.max(F.when(F.col("column") == c, F.col("value"))).alias(c) for c in columns])
+    return long.groupBy(*keys).agg(*[F.max(F.when(F.col("column") == c, F.col("value"))).alias(c) for c in columns])
 
 
 def wide_all(long: DataFrame) -> DataFrame:

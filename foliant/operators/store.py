@@ -60,7 +60,7 @@ def replace(df: DataFrame, path: str) -> None:
     """
     spark = df.sparkSession
     name = uuid.uuid4().hex
-    (df.write.partitionBy(BUCKET) if BUCKET in df.columns else df.write).parquet(f"{path}.new-{name}")
+    _writer(df).parquet(f"{path}.new-{name}")
     fs, at = _fs(spark, path)
     new, old = (_fs(spark, f"{path}.{x}-{name}")[1] for x in ("new", "old"))
     there = fs.exists(at)
@@ -84,8 +84,13 @@ def _bucketed(df: DataFrame, keys: list[str], buckets: int | None) -> DataFrame:
     return df.withColumn(BUCKET, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")) if buckets else df
 
 
+def _writer(df: DataFrame):
+    """A bucket is written by one task, so that a load adds one file to it; a bucket that is too large for that has too few beside it."""
+    return df.repartition(BUCKET).write.partitionBy(BUCKET) if BUCKET in df.columns else df.write
+
+
 def _append(df: DataFrame, path: str) -> None:
-    (df.write.partitionBy(BUCKET) if BUCKET in df.columns else df.write).mode("append").parquet(path)
+    _writer(df).mode("append").parquet(path)
 
 
 def _buckets_of(stored: DataFrame, path: str) -> int | None:
@@ -127,7 +132,7 @@ def load(new: DataFrame, path: str, keys: list[str], overwrite: bool = False, bu
         return n
     touched = [r[0] for r in new.select(BUCKET).distinct().collect()]  # at most the number of buckets
     rest = stored.where(F.col(BUCKET).isin(touched)).join(gone, keys, "left_anti")
-    rest.unionByName(new, allowMissingColumns=True).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(path)
+    _writer(rest.unionByName(new, allowMissingColumns=True)).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
     return n
 
 

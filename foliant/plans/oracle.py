@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from foliant.functions.text import WS
-from foliant.schemas import CHECKS
 
 _RUN = f"[{WS}]+"
+#: Columns of the given sheets' structured tables.
+STRUCTURED = ["col_amount", "col_category", "col_code", "col_code_value", "col_description", "col_effective", "col_flag", "col_hc_code", "col_item", "col_label", "col_rule_ref", "col_service"]
 
 
 def words(c: str) -> str:
@@ -67,14 +68,65 @@ h as (select *, coalesce(round_even(len(list_filter(w, lambda x: regexp_full_mat
 hf as (select *, bad_chars * 100 + single_ratio * 10 + broken as severity from h where bad_chars > 0 or single_ratio > 0.15 or broken > 10)"""
 
 
-def _counts() -> str:
-    fix = lambda c: c.replace("not rlike(collection_path, '\\\\A[a-z0-9_]+(\\\\.[a-z0-9_]+)*\\\\z')", "not regexp_full_match(collection_path, '[a-z0-9_]+(\\.[a-z0-9_]+)*')").replace("BD", "")
-    return " union all ".join(f"select '{t}' as table_name, '{n}' as \"check\", count(*) filter (where {fix(c)}) as n from {t}" for t, cs in CHECKS.items() for n, c in cs.items())
+_PATH = "regexp_full_match(collection_path, '[a-z0-9_]+(\\.[a-z0-9_]+)*')"
+#: The constraints once more, written for SQL on their own.
+BROKEN = {
+    "document": {
+        "key_missing": "collection_path is null", "path_invalid": f"collection_path is not null and not {_PATH}", "title_blank": "length(replace(coalesce(title, ''), ' ', '')) = 0",
+        "sections_below_one": "n_parsed_sections <= 0", "hash_range": "not (source_binary_hash between 0 and 18446744073709551615)",
+    },
+    "document_content": {
+        "key_missing": "collection_path is null or sort_order is null", "order_below_one": "sort_order <= 0", "words_below_zero": "sign(word_count) = -1", "page_below_one": "least(page_start, page_end) <= 0",
+        "nothing_in_it": "length(replace(coalesce(heading_text, '') || coalesce(content_text, ''), ' ', '')) = 0", "page_order": "page_end < page_start",
+    },
+    "sheet": {"key_missing": "collection_path is null", "title_blank": "length(replace(coalesce(title, ''), ' ', '')) = 0", "rows_below_one": "n_rows <= 0", "hash_range": "not (source_binary_hash between 0 and 18446744073709551615)"},
+    "sheet_content": {"key_missing": "collection_path is null or sort_order is null", "order_below_one": "sort_order <= 0", "text_empty": "row_text is null or length(row_text) = 0", "words_below_zero": "sign(word_count) = -1"},
+    "embedding_table": {"key_missing": "fname is null or so is null or chunk_number is null", "number_below_one": "chunk_number <= 0", "words_below_zero": "sign(word_count) = -1"},
+}
 
 
-def _rows(table: str, key: str) -> str:
-    fix = lambda c: c
-    return " union ".join(f"select '{n}' as \"check\", concat_ws('/', {key}) as key, '{table}' as detail from {table} where {fix(c)}" for n, c in CHECKS[table].items())
+def _counts() -> str:
+    return " union all ".join(f"select '{t}' as table_name, '{n}' as \"check\", count(*) filter (where {c}) as n from {t}" for t, cs in BROKEN.items() for n, c in cs.items())
+
+
+def _rows(table: str, key: str, union: str = "union") -> str:
+    return f" {union} ".join(f"select '{n}' as \"check\", concat_ws('/', {key}) as key, '{table}' as detail from {table} where {c}" for n, c in BROKEN[table].items())
+
+
+def _family(parent: str, child: str, stated: str, none: str, repeated: str, real: str) -> str:
+    """Failures of parents and children by check."""
+    k = f"(select collection_path, count(*) as n, min(sort_order) as lo, max(sort_order) as hi, count(distinct sort_order) as nd from {child} group by 1)"
+    return f"""with f as ({_rows(parent, 'collection_path', 'union all')} union all {_rows(child, 'collection_path, sort_order', 'union all')}
+union all select 'hash_missing', collection_path, '' from {parent} where source_binary_hash is null
+union all {repeated}
+union all select 'count', p.collection_path, '' from {parent} p left join {k} k on k.collection_path = p.collection_path where p.{stated} <> coalesce(k.n, 0)
+union all select '{none}', p.collection_path, '' from {parent} p where not exists (select 1 from {child} c where c.collection_path = p.collection_path)
+union all select 'orphan', concat_ws('/', c.collection_path, c.sort_order), '' from {child} c where not exists (select 1 from {parent} p where p.collection_path = c.collection_path)
+union all select 'order', collection_path, '' from {k} where lo <> 1 or hi <> n or nd <> n
+union all select 'word_count', concat_ws('/', collection_path, sort_order), '' from {child} where word_count <> {real})
+select "check", count(*) as n, count(distinct key) as n_keys from f group by 1"""
+
+
+MIXED = f"""{ROWS}, mx0 as (select *, sort_order % 7 as k, string_split(row_text, chr(10)) as ls from r),
+mx as (select collection_path as doc_id, sort_order as seq, k, case k when 2 then 'table' when 3 then 'picture' else 'text' end as elem_type,
+  case when length(collection_path) % 5 = 0 and k = 5 then 'marginalia' else ['paragraph', 'section_header', 'table', 'picture', 'page_header', 'list_item', 'paragraph'][k + 1] end as label,
+  case when k not in (2, 3) then ls[1] end as text, case when k in (2, 3) and sort_order % 5 < 2 then ls[1] end as caption,
+  case when k = 2 and sort_order % 4 <> 2 then list_transform(ls, lambda x: [regexp_extract(x, '^([^:]*)', 1), regexp_replace(x, '^[^:]*:? ?', '')]) end as grid, 1 + sort_order // 2 as page from mx0),
+mb as (select *, regexp_replace(coalesce(caption, ''), '^{_RUN}|{_RUN}$', '', 'g') as cap, regexp_replace(coalesce(text, ''), '^{_RUN}|{_RUN}$', '', 'g') as body,
+  coalesce(len(list_filter(flatten(grid), lambda x: trim(x) <> '')), 0) > 0 as filled,
+  array_to_string(list_concat(['| ' || array_to_string(grid[1], ' | ') || ' |', '|' || repeat(' --- |', len(grid[1]))], list_transform(grid[2:], lambda x: '| ' || array_to_string(x, ' | ') || ' |')), chr(10)) as md from mx),
+ml as (select *, case when label = 'page_header' then null when k = 2 then case when filled then case when cap <> '' then cap || chr(10) || chr(10) || md else md end else nullif(cap, '') end when k = 3 then nullif(cap, '') else nullif(body, '') end as block from mb),
+mr as (select *, case when block is null then null when k in (2, 3) then 'block' when label = 'section_header' then 'heading' when label = 'marginalia' then 'unknown' else 'block' end as role from ml)"""
+MIXED_SECTIONS = f"""{MIXED}, mk as (select *, sum(case when role = 'heading' then 1 else 0 end) over (partition by doc_id order by seq) as part from mr where role is not null and doc_id not in (select doc_id from mr where role = 'unknown')),
+ms0 as (select doc_id, part, max(case when role = 'heading' then block end) as heading_text, string_agg(block, chr(10) || chr(10) order by seq) filter (where role <> 'heading') as content_text, min(page) as page_start, max(page) as page_end from mk group by doc_id, part),
+ms as (select doc_id, row_number() over (partition by doc_id order by part) as sort_order, heading_text, content_text, {n_words('heading_text')} + {n_words('content_text')} as word_count, page_start, page_end from ms0)"""
+_KEPT = "array_to_string(list_filter(string_split(content_text, chr(10)), lambda x: not (starts_with(ltrim(x), '|') or (regexp_full_match(x, '[\\s|:-]+') and trim(x) <> ''))), chr(10))"
+_HEADS = f"""{LINES}, hd0 as (select collection_path as sheet, pos + 1 as c, nullif(trim(regexp_extract(line, '^([^:]*):', 1)), '') as header from li where sort_order = 1),
+hd1 as (select * from hd0 union all select sheet, max(c) + 1, max(header) filter (where c = 1) || case when length(sheet) % 4 = 0 then '' else '!' end from hd0 where length(sheet) % 4 < 2 group by sheet),
+hd as (select *, {column_name("header", 'c - 1')} as col from hd1),
+hs as (select sheet, max(c) as last_col from (select sheet, c, c - row_number() over (partition by sheet order by c) as g from hd where header is not null) where g = 0 group by 1),
+hh as (select hd.* from hd join hs on hd.sheet = hs.sheet and c <= last_col),
+hp as (select sheet, 'duplicate' as problem, header from hh group by sheet, header having count(*) > 1 union all select sheet, 'duplicate_name', min(header) from hh group by sheet, col having count(distinct header) > 1)"""
 
 
 def _pieces(n: str, cap: str, stride: str, budget: str) -> str:
@@ -90,7 +142,7 @@ def oracle_sql() -> dict[str, str]:
         "order_catalog_hash": f"with {ORDERS} select collection_path, cast(count(*) as integer) as n_rows, sum(word_count) as words, {low64('string_agg(row_text, chr(10) order by sort_order)')} as source_binary_hash from orows group by 1",
         "header_normalize": f"with {LINES}, h as (select distinct regexp_extract(line, '^([^:]*):', 1) as header, pos from li where contains(line, ':')) select header, pos, {column_name('header', 'pos')} as column_name from h",
         "structured_long": f"with {LONG} select * from lf",
-        "structured_wide": f"with {LONG} select collection_path, sort_order, " + ", ".join(f"max(value) filter (where \"column\" = '{c}') as {c}" for c in ["col_item", "col_description", "col_amount", "col_effective", "col_rule_ref"]) + " from lf where structured_table = 'attribution' group by 1, 2",
+        "structured_wide": f"with {LONG} select structured_table, collection_path, sort_order, " + ", ".join(f"max(value) filter (where \"column\" = '{c}') as {c}" for c in STRUCTURED) + " from lf group by all",
         "structured_columns": f"with {LONG} select structured_table, \"column\", count(*) as n, count(value) as n_filled, count(distinct collection_path) as n_sheets from lf group by 1, 2",
         "overlap_guard": f"""with {LONG}, own as (select distinct structured_table, collection_path, "column" from lf), fi as (select structured_table, "column", min(collection_path) as fp from own group by 1, 2),
 k as (select structured_table, collection_path, count(*) as n_incoming, count(*) filter (where fp < collection_path) as n_common, (select count(*) from fi g where g.structured_table = own.structured_table and g.fp < own.collection_path) as n_existing from own join fi using (structured_table, "column") group by own.structured_table, own.collection_path)
@@ -153,6 +205,38 @@ select collection_path, count(*) as n_flags, string_agg(reason, ',' order by rea
 s as (select collection_path, min(n - b) as step from l where b is not null group by 1) select collection_path, unnest(range(b + step, n, step)) as missing_number from l join s using (collection_path) where n - b > step""",
         "page_slices": f"""with {CONTENT}, p as (select collection_path, max(page_end) as pages from c group by 1)
 select collection_path, k as slice_no, (k - 1) * 25 + 1 as first_page, least(k * 25, pages) as last_page from (select *, unnest(range(1, 1 + case when pages > 25 then cast(ceil(pages / 25) as bigint) else 1 end)) as k from p where pages is not null) union all select collection_path, 1, 1, null from p where pages is null""",
+        "document_failures": _family("document", "document_content", "n_parsed_sections", "no_sections", "select 'repeated', collection_path, '' from document where collection_path is not null group by 2 having count(*) > 1", f"{n_words('heading_text')} + {n_words('content_text')}"),
+        "sheet_failures": _family("sheet", "sheet_content", "n_rows", "no_rows", "select 'repeated', concat_ws('/', collection_path, sort_order), '' from sheet_content group by collection_path, sort_order having count(*) > 1", n_words("row_text")),
+        "cleaned_records": f"""with {SECTIONS}, h as (select cast(doc_id as varchar) as doc_id, {low64("coalesce(text, '')")} as binary_hash from documents),
+p as (select doc_id, count(*) as n, string_agg('{{"sort_order":' || sort_order || ',"heading_text":' || coalesce(cast(to_json(heading_text) as varchar), 'null') || ',"content_text":' || coalesce(cast(to_json(content_text) as varchar), 'null') || ',"word_count":' || word_count || ',"page_start":' || page_start || ',"page_end":' || page_end || '}}', ',' order by sort_order) as s from se group by 1)
+select doc_id, '{{"document":{{"n_parsed_sections":' || n || ',"binary_hash":' || binary_hash || '}},"sections":[' || s || ']}}' as record from p join h using (doc_id)""",
+        "quality_records": f"""with {FRAGMENTS}, {PAGES.replace(CONTENT + ',', '')}, hs as (select * from c), {HEALTH},
+hk as (select collection_path, count(*) as flagged_sections from hf group by 1), hw2 as (select collection_path, max(bad_chars * 100 + single_ratio * 10 + broken) as worst from h group by 1),
+n as (select distinct collection_path, try_cast(regexp_extract(heading_text, '^\\s*(\\d+)(?:\\.\\d+)*\\b', 1) as bigint) as n from c), l as (select *, lag(n) over (partition by collection_path order by n) as b from n where n is not null),
+st as (select collection_path, min(n - b) as step from l where b is not null group by 1), mg as (select collection_path, sum(len(range(b + step, n, step))) as missing_numbers from l join st using (collection_path) where n - b > step group by 1)
+select collection_path, section_count, fm.total_pages, sections_per_page, median_words, covered_pages, coverage, coalesce(flagged_sections, 0) as flagged_sections, worst, coalesce(missing_numbers, 0) as missing_numbers
+from fm left join pc using (collection_path) left join hk using (collection_path) left join hw2 using (collection_path) left join mg using (collection_path)""",
+        "judged_documents": f"""with e as (select distinct collection_path as file, case length(title) % 3 when 0 then collection_path when 1 then {label('title')} else title end as path from document where title is not null),
+s as (select *, count(*) over (partition by file) as ns, coalesce(regexp_full_match(path, '[a-z0-9_]+(\\.[a-z0-9_]+)*'), false) as ok from e),
+m as (select path, count(*) as np from s where ok group by 1)
+select file as stem, s.path, case when ns > 1 then 'repeated_stem' when not ok then 'invalid_path' when np > 1 then 'repeated_path' end as problem from s left join m on m.path = s.path""",
+        "mixed_sections": f"with {MIXED_SECTIONS} select * from ms",
+        "mixed_failures": f"with {MIXED} select doc_id, 'clean' as stage, 'unknown element ' || min(label) || ' (' || count(*) || ')' as reason from mr where role = 'unknown' group by doc_id",
+        "mixed_census": f"with {MIXED} select elem_type, label, count(*) as n, count(distinct doc_id) as n_docs, bool_or(body <> '') as carries_text, bool_or(coalesce(role = 'unknown', false)) as unhandled from mr group by 1, 2",
+        "mixed_pages": f"""with {MIXED}, pg as (select doc_id, page, case when bool_or(role is not null) then 'body' when bool_or(k = 2 and block is null) then 'blank_table' when bool_or(k = 3) then 'image_only' when bool_or(label = 'page_header') then 'furniture_only' else 'no_elements' end as kind from mr group by 1, 2)
+select e.doc_id, e.page, coalesce(pg.kind, 'no_elements') as kind from (select doc_id, unnest(range(1, max(page) + 1)) as page from mr group by doc_id) e left join pg on pg.doc_id = e.doc_id and pg.page = e.page""",
+        "table_coverage": f"""with {MIXED_SECTIONS}, tb as (select doc_id, seq, row_number() over (partition by doc_id order by seq) as table_no, case when filled then array_to_string(flatten(grid), ' ') else coalesce(caption, '') end as t from mr where k = 2),
+tt as (select distinct doc_id, table_no, unnest({tokens('t')}) as token from tb), kt as (select distinct doc_id, unnest({tokens(_KEPT)}) as token from ms)
+select doc_id, table_no, count(*) as n_missing, list_slice(list(token order by token), 1, 5) as sample from tt where not exists (select 1 from kt where kt.doc_id = tt.doc_id and kt.token = tt.token) group by 1, 2""",
+        "header_problems": f"with {_HEADS} select sheet, problem, header from hp",
+        "sheet_data_rows": f"""with {_HEADS}, cv as (select collection_path as sheet, sort_order as r, pos + 1 as c, nullif(trim(regexp_replace(line, '^[^:]*:', '')), '') as value from li),
+g as (select cv.* from cv join hs on hs.sheet = cv.sheet and c <= last_col where value is not null and cv.sheet not in (select sheet from hp)),
+k as (select sheet, r, row_number() over (partition by sheet order by r) as n from (select distinct sheet, r from g)),
+t as (select k.sheet, k.n, string_agg(h.header || ': ' || coalesce(g.value, ''), chr(10) order by h.c) as row_text from k join hh h on h.sheet = k.sheet left join g on g.sheet = k.sheet and g.r = k.r and g.c = h.c group by 1, 2)
+select sheet as collection_path, n as sort_order, row_text, {n_words('row_text')} as word_count from t""",
+        "incremental_family": f"""with {CONTENT}, p as (select collection_path, case when length(collection_path) % 5 = 0 then 'third' when length(collection_path) % 2 = 0 then max(title) else 'second' end as title from document where collection_path is not null group by 1),
+n as (select collection_path, count(*) as n_rows, sum(word_count) as words from c where length(collection_path) % 5 <> 0 or sort_order = 1 group by 1)
+select p.collection_path, p.title, n.n_rows, n.words from p left join n on n.collection_path = p.collection_path""",
         "templated_targets": "select distinct 'https://example.org/' || collection_path || '.pdf' as url, 'raw/' || collection_path || '.pdf' as destination, 'g_' || collection_path as \"group\", cast(null as bigint) as expected_size from document",
         "manifest_skip": f"""with {ENTRIES}, la as (select url, max_by(status, pos) as status, max_by(path, pos) as path, max_by(want, pos) as want from ent group by 1)
 select 'https://example.org/' || doc_id as url, 'raw/' || doc_id || '.txt' as destination, coalesce(la.status in ('fetched', 'skipped') and fi.size = la.want, false) as skip from documents left join la on la.url = 'https://example.org/' || doc_id left join fi on fi.path = la.path""",

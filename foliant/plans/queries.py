@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from foliant.functions import identity
 from foliant.functions.text import low64_sha256, row_text, squash, tokens, word_count
-from foliant.operators import acquire, chunks, embed, quality, sections, sheets, validate
+from foliant.operators import acquire, chunks, documents, embed, quality, sections, sheets, validate
 from foliant.runtime import table
 from foliant.sources import slices
 
@@ -78,11 +78,13 @@ def structured_long(spark, d):
     return _long(spark, d)
 
 
+#: Columns that the given sheets have; the test compares them with those in the data.
+STRUCTURED = ["col_amount", "col_category", "col_code", "col_code_value", "col_description", "col_effective", "col_flag", "col_hc_code", "col_item", "col_label", "col_rule_ref", "col_service"]
+
+
 @query
 def structured_wide(spark, d):
-    rows = table(spark, d, "sheet_content").dropDuplicates(["collection_path", "sort_order"])
-    own = sheets.long_form(rows, table(spark, d, "sheet").where("structured_table = 'attribution'"))
-    return sheets.wide(own, ["col_item", "col_description", "col_amount", "col_effective", "col_rule_ref"])
+    return sheets.wide(_long(spark, d), STRUCTURED, ["structured_table", "collection_path", "sort_order"])
 
 
 @query
@@ -114,6 +116,19 @@ def _cells(spark: SparkSession, d: str) -> DataFrame:
     return lines.select(F.lit("book").alias("file"), F.col("collection_path").alias("sheet"), F.col("sort_order").alias("r"), (F.col("pos") + 1).alias("c"), F.when(value != "", value).alias("value"))
 
 
+def _heads(spark: SparkSession, d: str) -> DataFrame:
+    """The header row of each sheet: the labels of the lines of its first row; data rows of :func:`_cells` follow from row 2 on.
+
+    Some sheets repeat their first header at the end, in others it only gives the same column name.
+    """
+    lines = table(spark, d, "sheet_content").dropDuplicates(["collection_path", "sort_order"]).where("sort_order = 1").select("collection_path", F.posexplode(F.split("row_text", "\n")).alias("pos", "line"))
+    name = F.trim(F.regexp_extract("line", r"^([^:]*):", 1))
+    kind = F.length("sheet") % 4
+    own = lines.select(F.lit("book").alias("file"), F.col("collection_path").alias("sheet"), F.lit(1).alias("r"), (F.col("pos") + 1).alias("c"), F.when(name != "", name).alias("value"))
+    last = own.groupBy("file", "sheet", "r").agg((F.max("c") + 1).alias("c"), F.max(F.when(F.col("c") == 1, F.col("value"))).alias("value")).where(kind < 2)
+    return own.unionByName(last.withColumn("value", F.when(kind == 0, F.col("value")).otherwise(F.concat("value", F.lit("!")))))
+
+
 @query
 def merged_range_fill(spark, d):
     cells = _cells(spark, d)
@@ -122,6 +137,22 @@ def merged_range_fill(spark, d):
     return sheets.fill_merged(cells, ranges).select("sheet", "r", "c", "value")
 
 
+@query
+def sheet_data_rows(spark, d):
+    """Rows by the cells of their grid: sheets whose headers are in order, blank rows left out and rows numbered."""
+    cells = _cells(spark, d).withColumn("r", F.col("r") + 1).unionByName(_heads(spark, d))
+    span = sheets.bounds(cells)
+    heads = sheets.headers(cells, span)
+    good = heads.join(sheets.header_problems(heads).select("file", "sheet").distinct(), ["file", "sheet"], "left_anti")
+    return sheets.text_rows(sheets.data_rows(cells, span, good), "sheet")
+
+
+@query
+def header_problems(spark, d):
+    cells = _heads(spark, d)
+    return sheets.header_problems(sheets.headers(cells, sheets.bounds(cells))).select("sheet", "problem", "header")
+
+
 @query
 def sheet_grid(spark, d):
     cells = _cells(spark, d)
@@ -145,8 +176,20 @@ def path_validity(spark, d):
 
 @query
 def duplicate_stems(spark, d):
+    return _judged(spark, d).where("problem = 'repeated_stem'").groupBy("stem").agg(F.count("*").alias("n"))
+
+
+def _judged(spark: SparkSession, d: str) -> DataFrame:
+    """Documents as authored entries: the chapter in the title makes the file, and its path is the title's where that is one word."""
     name = F.concat(F.lit("data/"), F.lower(F.regexp_extract("title", r"(Chapter \d+)", 1)), F.lit(".v1.pdf"))
-    return table(spark, d, "document").where("title is not null").select(identity.stem(name).alias("stem"), "collection_path").distinct().groupBy("stem").agg(F.count("*").alias("n")).where("n > 1")
+    return documents.judged(table(spark, d, "document").where("title is not null").select(name.alias("file"), "collection_path").distinct())
+
+
+@query
+def judged_documents(spark, d):
+    path = F.when(F.length("title") % 3 == 0, F.col("collection_path")).when(F.length("title") % 3 == 1, identity.label("title")).otherwise(F.col("title"))
+    own = table(spark, d, "document").where("title is not null").select(F.concat(F.lit("in/"), F.col("collection_path"), F.lit(".pdf")).alias("file"), path.alias("path")).distinct()
+    return documents.judged(own, "file", "path").select("stem", "path", "problem")
 
 
 # sections
@@ -182,6 +225,51 @@ def cleaned_records(spark, d):
     return sections.cleaned(sections.sections(_elements(spark, d)), own)
 
 
+def _mixed(spark: SparkSession, d: str) -> DataFrame:
+    """Worksheets as documents of every kind of element, by the number of the row: headings, tables (some blank, some with captions), pictures, page
+    headers, list items, and in some documents elements without a rule."""
+    r = table(spark, d, "sheet_content").dropDuplicates(["collection_path", "sort_order"]).withColumn("k", F.pmod("sort_order", F.lit(7)))
+    first = F.get(F.split("row_text", "\n"), F.lit(0))
+    cut = F.transform(F.split("row_text", "\n"), lambda x: F.array(F.regexp_extract(x, "^([^:]*)", 1), F.regexp_replace(x, r"^[^:]*:? ?", "")))
+    odd = (F.length("collection_path") % 5 == 0) & (F.col("k") == 5)
+    k = F.col("k")
+    label = F.when(odd, "marginalia").when(k == 1, "section_header").when(k == 2, "table").when(k == 3, "picture").when(k == 4, "page_header").when(k == 5, "list_item").otherwise("paragraph")
+    blank = F.col("sort_order") % 4 == 2
+    return r.select(
+        F.col("collection_path").alias("doc_id"), F.col("sort_order").alias("seq"), F.when(k == 2, "table").when(k == 3, "picture").otherwise("text").alias("elem_type"), label.alias("label"),
+        F.when(~k.isin(2, 3), first).alias("text"), F.when(k.isin(2, 3) & (F.col("sort_order") % 5 < 2), first).alias("caption"),
+        F.when((k == 2) & ~blank, cut).when(k == 2, F.array(F.array(F.lit(" "), F.lit(None).cast("string")))).alias("grid"),
+        F.array((1 + F.floor(F.col("sort_order") / 2)).cast("int")).alias("pages"),
+    )
+
+
+@query
+def mixed_sections(spark, d):
+    return sections.sections(_mixed(spark, d))
+
+
+@query
+def mixed_failures(spark, d):
+    return sections.section_failures(_mixed(spark, d))
+
+
+@query
+def mixed_census(spark, d):
+    return quality.census(_mixed(spark, d))
+
+
+@query
+def mixed_pages(spark, d):
+    return quality.page_classes(_mixed(spark, d))
+
+
+@query
+def table_coverage(spark, d):
+    """Tokens of the tables that sections without their tables' lines lack."""
+    kept = sections.sections(_mixed(spark, d)).select("doc_id", quality.without_tables("content_text").alias("content_text"))
+    return quality.table_gap(_mixed(spark, d), kept).select("doc_id", "table_no", F.size("missing").alias("n_missing"), F.slice("missing", 1, 5).alias("sample"))
+
+
 # chunks and embeddings
 
 
@@ -212,6 +300,24 @@ def resume_anti_join(spark, d):
     return embed.resume(_content(spark, d), table(spark, d, "embedding_table"), KEY).select("collection_path", "sort_order")
 
 
+@query
+def incremental_family(spark, d):
+    """Documents loaded in three runs into stored tables: half of them, all of them skipping what is there, and a few replaced; then what is stored."""
+    from foliant.operators import store
+    from foliant.runtime import scratch
+
+    folder = scratch(spark, "family")
+    parents = table(spark, d, "document").where("collection_path is not null").groupBy("collection_path").agg(F.max("title").alias("title"))
+    rows = _content(spark, d).select("collection_path", "sort_order", "word_count")
+    half = F.length("collection_path") % 2 == 0
+    store.load_family(parents.where(half), {"content": rows}, folder, "document", buckets=16)
+    store.load_family(parents.withColumn("title", F.lit("second")), {"content": rows}, folder, "document")
+    some = F.length("collection_path") % 5 == 0
+    store.load_family(parents.where(some).withColumn("title", F.lit("third")), {"content": rows.where("sort_order = 1")}, folder, "document", overwrite=True)
+    n = store.read(spark, f"{folder}/content").groupBy("collection_path").agg(F.count("*").alias("n_rows"), F.sum("word_count").alias("words"))
+    return store.read(spark, f"{folder}/document").join(n, "collection_path", "left")
+
+
 @query
 def scoped_overwrite_survivors(spark, d):
     c = _content(spark, d)
@@ -380,7 +486,7 @@ def section_number_gaps(spark, d):
 
 @query
 def quality_records(spark, d):
-    return quality.report(_content(spark, d), "collection_path")
+    return quality.summary(_content(spark, d), "collection_path")
 
 
 # sources and acquisition

@@ -84,6 +84,13 @@ def cleanup(spark: SparkSession) -> None:
         at.getFileSystem(conf).delete(at, True)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared one, removed by :func:`cleanup`."""
+    path = f"{shared_dir(spark)}/foliant-{name}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
 def materialize(df: DataFrame, name: str = "part", partitions: int | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it again.
 
@@ -92,7 +99,6 @@ def materialize(df: DataFrame, name: str = "part", partitions: int | None = None
     threshold and is a sort-merge join beyond it.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/foliant-{name}-{uuid.uuid4().hex}"
-    _written.append(path)
+    path = scratch(spark, name)
     (df.coalesce(partitions) if partitions else df).write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
