@@ -9,13 +9,16 @@ matrix products; the lists' answers are merged per vector.
 
 Sizes. Every row is indexed; only the fit uses a sample, of at most ``PER_LEAF * MAX_LISTS`` vectors (131,072: 32 MB).
 At most ``MAX_LISTS`` centroids (4 MB) and their graph (1 MB) are broadcast. Beyond ``MAX_LISTS * LIST_SIZE`` vectors lists
-grow; a list expected to be over ``BLOCK`` rows is cut into blocks that each query of the list visits, so that no task holds
-more than a block. Equal vectors are collapsed first: of each, the k + 1 smallest ids are its representatives (a group
+grow; a list that indexes over ``BLOCK`` rows, by count, is cut into blocks that each query of the list visits, so that a task indexes
+about a block, wherever the sample missed a dense region. Equal vectors are collapsed first: of each, the k + 1 smallest ids are its representatives (a group
 limit applied before the shuffle), since a vector with more copies has only copies as neighbours.
 
 Defined cases: vectors that are null, of another size, all zeros, or hold a null, NaN or infinite value take no part; rows
 sent twice count once; ties go to the smaller id; fewer than k + 1 vectors give fewer neighbours; an empty table gives
 no rows; extra columns are ignored.
+
+Accuracy. ``REPLICAS`` and ``PROBES`` bound the lists of a vector, and so what may be missed; ``exact=True`` takes a single list, cut into blocks that
+every vector visits, which misses nothing and costs the square of the collection.
 """
 
 from __future__ import annotations
@@ -181,24 +184,25 @@ def _join(k: int, dim: int):
     return run
 
 
-def neighbours(rows: DataFrame, k: int = K, dim: int = DIM) -> DataFrame:
+def neighbours(rows: DataFrame, k: int = K, dim: int = DIM, exact: bool = False) -> DataFrame:
     """``h, ids, near``: for each node its ids and, best first, up to k ``(sim, id)`` of other vectors."""
     spark = rows.sparkSession
     n = rows.count()
-    lists = int(min(MAX_LISTS, max(1, -(-n // LIST_SIZE))))
+    lists = 1 if exact else int(min(MAX_LISTS, max(1, -(-n // LIST_SIZE))))
     want = min(n, PER_LEAF * lists)
     part = rows.where(F.pmod(F.xxhash64("h"), F.lit(max(n, 1))) < want).select("embedding").limit(PER_LEAF * MAX_LISTS).toArrow()
     if not part.num_rows:
         part = rows.select("embedding").limit(1000).toArrow()
-    means, share = fit(unit(_stack(part.column("embedding"), dim)), lists) if part.num_rows else (np.zeros((1, dim), np.float32), np.ones(1))
+    means = fit(unit(_stack(part.column("embedding"), dim)), lists)[0] if part.num_rows and not exact else np.ones((1, dim), np.float32)
     shared = spark.sparkContext.broadcast(Graph(means))
-    # expected rows of a list, with its replicas; almost always one block
-    blocks = {i: int(-(-n * s * REPLICAS // BLOCK)) for i, s in enumerate(share.tolist()) if n * s * REPLICAS > BLOCK}
-    n_blocks = F.coalesce(F.element_at(F.create_map(*[F.lit(v) for kv in blocks.items() for v in kv]), F.col("list")), F.lit(1)) if blocks else F.lit(1)
+    assigned = materialize(rows.mapInArrow(_assign(shared, dim), "h bigint, ids array<bigint>, embedding array<float>, lists array<int>, n_index int, n_probe int"), "p2-assigned")
+    # rows that each list indexes; almost always one block. At most as many rows as there are lists
+    sizes = assigned.select(F.explode(F.slice("lists", F.lit(1), F.col("n_index"))).alias("list")).groupBy("list").agg(F.count("*").alias("n")).where(F.col("n") > BLOCK)
+    large = sizes.select("list", F.ceil(F.col("n") / BLOCK).cast("int").alias("n_blocks"))
     spread = (
-        rows.mapInArrow(_assign(shared, dim), "h bigint, ids array<bigint>, embedding array<float>, lists array<int>, n_index int, n_probe int")
-        .select("h", "ids", "embedding", "n_index", "n_probe", F.posexplode("lists").alias("pos", "list"))
-        .select("h", "ids", "embedding", "list", (F.col("pos") < F.col("n_index")).alias("indexed"), (F.col("pos") < F.col("n_probe")).alias("probes"), n_blocks.alias("n_blocks"))
+        assigned.select("h", "ids", "embedding", "n_index", "n_probe", F.posexplode("lists").alias("pos", "list"))
+        .join(F.broadcast(large), "list", "left")
+        .select("h", "ids", "embedding", "list", (F.col("pos") < F.col("n_index")).alias("indexed"), (F.col("pos") < F.col("n_probe")).alias("probes"), F.coalesce("n_blocks", F.lit(1)).alias("n_blocks"))
     )
     own = F.pmod("h", "n_blocks").cast("int")
     # a query goes to each block of its list, an indexed row to its own
@@ -208,10 +212,10 @@ def neighbours(rows: DataFrame, k: int = K, dim: int = DIM) -> DataFrame:
     return found.groupBy("h").agg(F.first("ids").alias("ids"), F.slice(best, 1, k).alias("near"))
 
 
-def nearest(chunks: DataFrame, k: int = K, dim: int = DIM) -> DataFrame:
+def nearest(chunks: DataFrame, k: int = K, dim: int = DIM, exact: bool = False) -> DataFrame:
     """``chunk_id, rank, other_id``: the k most similar pieces of every piece."""
     rows = materialize(nodes(usable(chunks, dim), k), "p2-nodes")
-    near = neighbours(rows, k, dim)
+    near = neighbours(rows, k, dim, exact)
     own = near.select(F.explode("ids").alias("chunk_id"), F.slice(F.concat(F.array_remove("ids", F.col("chunk_id")), F.transform("near", lambda x: x["id"])), 1, k).alias("others"))
     # copies beyond the k + 1 representatives: their neighbours are the first k of those
     full = materialize(rows.where(F.size("ids") > k).select("h", "ids"), "p2-copies")

@@ -58,6 +58,19 @@ def test_oversized_lists_are_cut_into_blocks(spark, monkeypatch):
     assert {tuple(r) for r in m.pairs(frame(spark, data)).collect()} == brute(data)
 
 
+def test_exact_misses_nothing_and_a_region_the_sample_missed_is_cut(spark, monkeypatch):
+    monkeypatch.setattr(m, "BLOCK", 60)
+    monkeypatch.setattr(m, "LIST_SIZE", 16)
+    rng = np.random.default_rng(9)
+    dense = rng.normal(size=64)
+    data = [(i, rng.normal(size=64)) for i in range(100)] + [(1000 + i, dense + 0.001 * rng.normal(size=64)) for i in range(200)]
+    got = {tuple(r) for r in m.nearest(frame(spark, data), exact=True).select("chunk_id", "other_id").collect()}
+    assert {(min(p), max(p)) for p in got} == brute(data)
+    # all rows in one list, whatever the sample said
+    monkeypatch.setattr(m, "fit", lambda sample, lists: (m.unit(dense[None, :].astype(np.float32)), np.array([0.001])))
+    assert {tuple(r) for r in m.pairs(frame(spark, data)).collect()} == brute(data)
+
+
 def test_small_and_empty_tables(spark):
     assert m.pairs(frame(spark, [])).count() == 0
     assert m.pairs(frame(spark, [(1, [1.0] * 64)])).count() == 0
