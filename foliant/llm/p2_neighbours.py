@@ -18,7 +18,7 @@ sent twice count once; ties go to the smaller id; fewer than k + 1 vectors give
 no rows; extra columns are ignored.
 
 Accuracy. ``REPLICAS`` and ``PROBES`` bound the lists of a vector, and so what may be missed; ``exact=True`` takes a single list, cut into blocks that
-every vector visits, which misses nothing and costs the square of the collection.
+every vector visits, which misses nothing but what single precision can't tell apart, and costs the square of the collection.
 """
 
 from __future__ import annotations

@@ -63,7 +63,7 @@ def test_exact_misses_nothing_and_a_region_the_sample_missed_is_cut(spark, monke
     monkeypatch.setattr(m, "LIST_SIZE", 16)
     rng = np.random.default_rng(9)
     dense = rng.normal(size=64)
-    data = [(i, rng.normal(size=64)) for i in range(100)] + [(1000 + i, dense + 0.001 * rng.normal(size=64)) for i in range(200)]
+    data = [(i, rng.normal(size=64)) for i in range(100)] + [(1000 + i, dense + 0.2 * rng.normal(size=64)) for i in range(200)]
     got = {tuple(r) for r in m.nearest(frame(spark, data), exact=True).select("chunk_id", "other_id").collect()}
     assert {(min(p), max(p)) for p in got} == brute(data)
     # all rows in one list, whatever the sample said
