@@ -63,6 +63,12 @@ def distinct_names(names: list[str], most: int = LONGEST_NAME) -> list[str]:
     return out
 
 
+def header_columns(headers: list[str]) -> list[str]:
+    """Column names of a list of headers, kept apart; the same rule as :func:`column_name`."""
+    slugs = [re.sub("^_+|_+$", "", re.sub("[^a-z0-9]+", "_", h.lower())) for h in headers]
+    return distinct_names([re.sub("_+$", "", f"col_{x or f'col_{i}'}"[:LONGEST_NAME]) for i, x in enumerate(slugs)])
+
+
 def folder_name(title: str | Column, key: str | Column) -> Column:
     """``pub_<key>_<slug>`` of a title less its programme names in front and ``Manual`` at the end; an empty slug is null."""
     t = col(title)

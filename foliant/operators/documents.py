@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.functions.identity import stem, valid_path
+from foliant.functions.identity import header_columns, stem, valid_path
 
 
 class DocumentError(ValueError):
@@ -66,9 +66,31 @@ def missing_tables(spark: SparkSession, names: list[str]) -> list[str]:
     return [n for n in names if not spark.catalog.tableExists(n)]
 
 
+#: Table property that holds the keys.
+KEYS = "foliant.keys"
+
+
+def columns_of(spark: SparkSession, name: str) -> list[tuple[str, str]]:
+    """Names and types of a table's columns, in order."""
+    return [(c.name, c.dataType) for c in spark.catalog.listColumns(name)]
+
+
+def keys_of(spark: SparkSession, name: str) -> list[str]:
+    """The keys a table was created with; none if it has none."""
+    rows = spark.sql(f"SHOW TBLPROPERTIES {name}").where(F.col("key") == KEYS).collect()
+    return rows[0]["value"].split(",") if rows else []
+
+
+def create_structured(spark: SparkSession, name: str, headers: list[str]) -> list[str]:
+    """Create a structured table for a list of headers, a text column each; returns the columns. An existing one is never changed."""
+    names = header_columns(headers)
+    create(spark, name, ", ".join(["collection_path string", "sort_order int", *(f"`{n}` string" for n in names)]), ["collection_path", "sort_order"])
+    return names
+
+
 def create(spark: SparkSession, name: str, schema: str, keys: list[str] | None = None) -> None:
     """Create a table unless it is there; an existing one is never changed. Keys are kept as a table property."""
-    props = f" TBLPROPERTIES ('foliant.keys' = '{','.join(keys)}')" if keys else ""
+    props = f" TBLPROPERTIES ('{KEYS}' = '{','.join(keys)}')" if keys else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema}) USING parquet{props}")
 
 

@@ -233,6 +233,14 @@ def comment(spark: SparkSession, schema: str, schema_comment: str | None, tables
     return out + [f"COMMENT ON TABLE {schema}.{t} IS {quote(c)}" for t, c in tables.items() if c is not None]
 
 
+def apply_comments(spark: SparkSession, schema: str, schema_comment: str | None, tables: dict[str, str | None]) -> int:
+    """Run the statements of :func:`comment`; returns their number."""
+    statements = comment(spark, schema, schema_comment, tables)
+    for s in statements:
+        spark.sql(s)
+    return len(statements)
+
+
 def write_text(path: str | Path, text: str) -> None:
     """Write a small driver-side file atomically: a temporary one beside it, then a rename."""
     path = Path(path)

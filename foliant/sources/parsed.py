@@ -100,9 +100,13 @@ def cleaned_failures(records: DataFrame) -> DataFrame:
     from foliant.functions.text import words
 
     r, s = F.col("record"), F.col("record.sections")
-    top = F.json_object_keys("raw")
-    head = F.json_object_keys(F.get_json_object("raw", "$.document"))
-    typed = F.from_json("raw", "document struct<n_parsed_sections:string,binary_hash:string>, sections array<map<string,string>>")
+    # each is parsed once, as columns of their own
+    records = records.withColumns({
+        "_top": F.json_object_keys("raw"),
+        "_head": F.json_object_keys(F.get_json_object("raw", "$.document")),
+        "_typed": F.from_json("raw", "document struct<n_parsed_sections:string,binary_hash:string>, sections array<map<string,string>>"),
+    })
+    top, head, typed = F.col("_top"), F.col("_head"), F.col("_typed")
     whole = lambda c: c.rlike(r"\A-?\d+\z")
     keys = F.array(*[F.lit(k) for k in ("sort_order", "heading_text", "content_text", "word_count", "page_start", "page_end")])
     odd = lambda name, null_ok: F.exists(typed["sections"], lambda x: (F.lit(not null_ok) & x[name].isNull()) | (x[name].isNotNull() & ~whole(x[name])))

@@ -3,7 +3,7 @@ import json
 import pytest
 
 from foliant.operators import documents as d
-from foliant.operators import sections
+from foliant.operators import sections, store
 from foliant.sources import config, parsed
 
 TREE = {
@@ -88,4 +88,10 @@ def test_titles(spark, rows):
     d.create(spark, "made_once", "k string, v int", ["k"])
     d.create(spark, "made_once", "k string", ["k"])
     assert d.missing_tables(spark, ["made_once", "never"]) == ["never"] and spark.table("made_once").columns == ["k", "v"]
+    assert d.keys_of(spark, "made_once") == ["k"] and d.columns_of(spark, "made_once") == [("k", "string"), ("v", "int")]
+    assert store.apply_comments(spark, "default", "all", {"made_once": "it's", "x": None}) == 2
+    assert spark.sql("DESCRIBE TABLE EXTENDED made_once").where("col_name = 'Comment'").first()["data_type"] == "it's"
     spark.sql("DROP TABLE made_once")
+    assert d.create_structured(spark, "made_wide", ["Unit Price", "unit-price", "%"]) == ["col_unit_price", "col_unit_price_2", "col_col_2"]
+    assert d.keys_of(spark, "made_wide") == ["collection_path", "sort_order"] and len(d.columns_of(spark, "made_wide")) == 5
+    spark.sql("DROP TABLE made_wide")
