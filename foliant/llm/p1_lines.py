@@ -40,12 +40,6 @@ NAMES = r"([\p{Ll}\p{Nd},;] )\p{Lu}\p{Ll}\p{L}*(?: \p{Lu}\p{Ll}\p{L}*)*"
 MONTHS = "january|february|march|april|may|june|july|august|september|october|november|december"
 
 
-def line_key(line: str | Column) -> Column:
-    """The form in which lines are the same: trimmed, single spaces, lower case, one mark for each run of digits."""
-    c = F.col(line) if isinstance(line, str) else line
-    return F.regexp_replace(F.trim(F.regexp_replace(F.lower(c), WS_RUN, " ")), r"\p{Nd}+", "0")
-
-
 def cluster(key: str | Column) -> Column:
     """Locality-sensitive hash of a normalised line: the smallest word hashes (a bottom-k sketch) with dates and numbers masked."""
     c = F.col(key) if isinstance(key, str) else key
@@ -54,20 +48,20 @@ def cluster(key: str | Column) -> Column:
 
 
 def _dates_and_numbers(c: Column) -> Column:
-    return F.regexp_replace(F.regexp_replace(c, rf"\b(?:{MONTHS}) 0,? 0\b|\b0[-/]0[-/]0\b", "0"), r"[0.,$]+", "0")
+    """A run of dates, numbers and their marks becomes one 0; digits are masked before."""
+    return F.regexp_replace(c, rf"(?:\b(?:{MONTHS}) 0,? 0\b|\b0[-/]0[-/]0\b|[0.,$])+", "0")
 
 
-def near_form(line: str | Column) -> Column:
-    """A line with names, dates and numbers masked; names are found by their capitals."""
-    c = F.col(line) if isinstance(line, str) else line
-    plain = F.trim(F.regexp_replace(c, WS_RUN, " "))
-    return _dates_and_numbers(line_key(F.regexp_replace(plain, NAMES, "$1#")))
+def near_form(plain: str | Column) -> Column:
+    """A line with single spaces, its names, dates and numbers masked; names are found by their capitals."""
+    c = F.col(plain) if isinstance(plain, str) else plain
+    return _dates_and_numbers(F.regexp_replace(F.lower(F.regexp_replace(c, NAMES, "$1#")), r"\p{Nd}+", "0"))
 
 
 def near_cluster(form: str | Column) -> Column:
     """Locality-sensitive hash of a masked line: its smallest word digests."""
     c = F.col(form) if isinstance(form, str) else form
-    return F.slice(F.array_sort(F.array_distinct(F.transform(F.split(c, " "), lambda t: F.md5(t)))), 1, SKETCH)
+    return F.slice(F.array_sort(F.transform(F.array_distinct(F.split(c, " ")), lambda t: F.md5(t))), 1, SKETCH)
 
 
 def _letters(c: str | Column) -> Column:
@@ -75,12 +69,13 @@ def _letters(c: str | Column) -> Column:
 
 
 def section_lines(content: DataFrame) -> DataFrame:
-    """Lines that can count: ``source, doc, section_id, line_no, line, key, line_key, cluster`` (hashes but for the line and its key)."""
+    """Lines that can count. Lines are the same by their ``key``: trimmed, single spaces, lower case, one mark for each run of digits. Columns: ``source, doc, section_id, line_no, plain, key, line_key, cluster`` (hashes but for the line with single spaces and its key)."""
     lines = (
         content.where("content_text is not null and collection_path is not null and section_id is not null")
         .select(source_of("collection_path").alias("source"), F.xxhash64("collection_path").alias("doc"), "section_id", F.posexplode(F.split("content_text", "\n")).alias("pos", "line"))
         .where(F.length("line") >= MIN_LETTERS)
-        .select("source", "doc", "section_id", (F.col("pos") + 1).alias("line_no"), "line", line_key("line").alias("key"))
+        .select("source", "doc", "section_id", (F.col("pos") + 1).alias("line_no"), F.trim(F.regexp_replace("line", WS_RUN, " ")).alias("plain"))
+        .withColumn("key", F.regexp_replace(F.lower("plain"), r"\p{Nd}+", "0"))
         .where(_letters("key") >= MIN_LETTERS)
     )
     return lines.withColumn("line_key", F.xxhash64("source", "key")).withColumn("cluster", F.xxhash64("source", cluster("key")))
@@ -129,7 +124,7 @@ def _written(content: DataFrame, near: bool) -> DataFrame:
     """The lines' hashes, written and read several times: texts are taken apart once."""
     lines, own = section_lines(content), ["source", "doc", "section_id", "line_no", "line_key", "cluster"]
     if near:
-        lines = lines.withColumn("form", near_form("line")).withColumn("near", F.when(_letters("form") >= MIN_LETTERS, F.xxhash64("source", near_cluster("form"))))
+        lines = lines.withColumn("form", near_form("plain")).withColumn("near", F.when(_letters("form") >= MIN_LETTERS, F.xxhash64("source", near_cluster("form"))))
         own += ["form", "near"]
     return materialize(lines.select(*own), "p1-lines")
 
