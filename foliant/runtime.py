@@ -84,6 +84,10 @@ def cleanup(spark: SparkSession) -> None:
         at.getFileSystem(conf).delete(at, True)
 
 
+#: Bytes of a row group of intermediate tables.
+ROW_GROUP = 32 * 1024 * 1024
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder in the shared one, removed by :func:`cleanup`."""
     path = f"{shared_dir(spark)}/foliant-{name}-{uuid.uuid4().hex}"
@@ -100,5 +104,6 @@ def materialize(df: DataFrame, name: str = "part", partitions: int | None = None
     """
     spark = df.sparkSession
     path = scratch(spark, name)
-    (df.coalesce(partitions) if partitions else df).write.option("compression", "zstd").parquet(path)
+    # small row groups: a task that writes holds one of them
+    (df.coalesce(partitions) if partitions else df).write.option("compression", "zstd").option("parquet.block.size", ROW_GROUP).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
